@@ -310,3 +310,239 @@ def zone_buckets(spark, sf_dir):
     return group_profile(c, [climate_zone(F.col("b"), 0, 5000).alias("zone"),
                              climate_zone(F.col("b"), 0, 5000, with_else=True).alias("zone_else")],
                          {"customers": F.count(F.lit(1))})
+
+
+# ---------------------------------------------------------------------------
+# Data quality
+# ---------------------------------------------------------------------------
+
+def _events_with_nulls(spark, sf_dir):
+    """events with the 'error' condition turned into NULL (no NULLs exist
+    in the driver tables; this makes the null checks non-trivial)."""
+    ev = load(spark, sf_dir, "events")
+    return ev.withColumn("event_type", F.nullif(F.col("event_type"), F.lit("error")))
+
+
+_EV_NULL_CTE = """e AS (SELECT event_id, ts, user_id, nullif(event_type, 'error') AS event_type, value, props
+            FROM events)"""
+_EV_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _pct_sql(n: str, total: str) -> str:
+    return f"CASE WHEN {total} > 0 THEN {O.r(f'100.0::DOUBLE * {n} / {total}')} ELSE 0.0 END"
+
+
+@query("null_rates", "WITH " + _EV_NULL_CTE + ", t AS (SELECT count(*) AS total_rows, "
+       + ", ".join(f"count_if({c} IS NULL) AS n_{c}" for c in _EV_COLS) + " FROM e)\n"
+       + "\nUNION ALL\n".join(
+           f"SELECT '{c}' AS column_name, total_rows, n_{c} AS null_count, "
+           f"{_pct_sql(f'n_{c}', 'total_rows')} AS null_rate FROM t" for c in _EV_COLS))
+def null_rates_q(spark, sf_dir):
+    return null_rates(_events_with_nulls(spark, sf_dir))
+
+
+@query("duplicate_stats", f"""
+WITH t AS (SELECT (SELECT count(*) FROM lineitem) AS total_rows,
+                  (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS distinct_rows)
+SELECT total_rows, distinct_rows, total_rows - distinct_rows AS duplicate_count,
+       {_pct_sql('(total_rows - distinct_rows)', 'total_rows')} AS duplicate_rate
+FROM t""")
+def duplicate_stats_q(spark, sf_dir):
+    return duplicate_stats(load(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+_LI_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+               "l_discount", "l_tax"]
+
+
+@query("range_stats", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, min({c})::DOUBLE AS min_value, max({c})::DOUBLE AS max_value, "
+    f"{O.r(f'avg({c}::DOUBLE)', 4)} AS avg_value, {O.r(f'stddev_samp({c}::DOUBLE)', 4)} AS stddev_value, "
+    f"count({c}) AS value_count FROM lineitem" for c in _LI_NUMERIC))
+def range_stats_q(spark, sf_dir):
+    # Mean and deviation rounded to 4 digits: their last bits depend on the
+    # summation order, which differs between engines and partitionings.
+    return _round_doubles(range_stats(load(spark, sf_dir, "lineitem")), 4, ["avg_value", "stddev_value"])
+
+
+def _profile_sql() -> str:
+    cols = _EV_COLS
+    numeric = ["event_id", "user_id", "value"]
+    aggs = ["count(*) AS total"] + [f"count_if({c} IS NULL) AS n_{c}" for c in cols]
+    aggs.append("(SELECT count(*) FROM (SELECT DISTINCT user_id, ts FROM e)) AS distinct_keys")
+    for c in numeric:
+        aggs += [f"min({c}::DOUBLE) AS mn_{c}", f"max({c}::DOUBLE) AS mx_{c}", f"avg({c}::DOUBLE) AS av_{c}",
+                 f"stddev_samp({c}::DOUBLE) AS sd_{c}", f"count({c})::DOUBLE AS ct_{c}"]
+    rows = ["('*', 'row_count', total::DOUBLE)", f"('*', 'column_count', {len(cols)}::DOUBLE)"]
+    rows += [f"('{c}', 'null_rate', {_pct_sql(f'n_{c}', 'total')})" for c in cols]
+    rows += ["('user_id,ts', 'duplicate_count', (total - distinct_keys)::DOUBLE)",
+             f"('user_id,ts', 'duplicate_rate', {_pct_sql('(total - distinct_keys)', 'total')})"]
+    for c in numeric:
+        rows += [f"('{c}', 'min', mn_{c})", f"('{c}', 'max', mx_{c})", f"('{c}', 'avg', av_{c})",
+                 f"('{c}', 'stddev', sd_{c})", f"('{c}', 'count', ct_{c})"]
+    body = "\nUNION ALL\n".join(f"SELECT 'events' AS dataset, {row[1:-1]} FROM a" for row in rows)
+    body = body.replace("FROM a", "FROM a", 1)
+    return ("WITH " + _EV_NULL_CTE + ", a AS (SELECT " + ", ".join(aggs) + " FROM e),\n"
+            "p AS (" + "\nUNION ALL\n".join(
+                f"SELECT 'events' AS dataset, {row[1:-1]}" + " FROM a" for row in rows) + ")\n"
+            "SELECT dataset, col0 AS column_name, col1 AS metric, " + O.r("col2", 4) + " AS value FROM ("
+            "SELECT dataset, * EXCLUDE (dataset) FROM p) q(dataset, col0, col1, col2)")
+
+
+@query("quality_profile", _profile_sql())
+def quality_profile(spark, sf_dir):
+    rep = profile(_events_with_nulls(spark, sf_dir), "events", keys=["user_id", "ts"])
+    return _round_doubles(rep, 4, ["value"])
+
+
+_SILVER_RULE_COLS = ["city_id", "event_id", "measurement_ts", "temperature_celsius", "humidity_percent",
+                     "weather_condition", "processing_timestamp", "city_name", "country_code"]
+
+
+@query("null_thresholds", O.with_(O.SILVER, O.NAMES) + """,
+sw AS (SELECT s.*, n.city_name, n.country_code FROM silver s JOIN names n ON s.city_id = n.city_id),
+t AS (SELECT count(*) AS total, """ + ", ".join(f"count_if({c} IS NULL) AS n_{c}" for c in _SILVER_RULE_COLS)
+       + """ FROM sw),
+rates AS (""" + "\nUNION ALL\n".join(
+           f"SELECT '{c}' AS column_name, {_pct_sql(f'n_{c}', 'total')} AS null_rate FROM t"
+           for c in _SILVER_RULE_COLS) + """),
+rules AS (SELECT * FROM (VALUES """ + ", ".join(
+           f"('{c}', {m})" for layer, c, m in NULL_THRESHOLDS if layer == "silver") + """) v(column_name, max_null_rate))
+SELECT r.column_name, r.null_rate, u.max_null_rate::DOUBLE AS max_null_rate,
+       (u.max_null_rate IS NULL OR r.null_rate <= u.max_null_rate) AS passed
+FROM rates r LEFT JOIN rules u ON r.column_name = u.column_name""")
+def null_thresholds(spark, sf_dir):
+    silver = S.silver_weather(spark, sf_dir).select(*_SILVER_RULE_COLS)
+    return null_threshold_check(spark, null_rates(silver), NULL_THRESHOLDS, "silver").select(
+        "column_name", "null_rate", "max_null_rate", "passed")
+
+
+def _reading_ranges():
+    return [r for r in VALUE_RANGES if r[0] in ("temperature_celsius", "humidity_percent")]
+
+
+def _violation_cases_sql():
+    cases = [(f"{c} is null", f"{c} IS NULL") for c in S.READINGS_CRITICAL]
+    cases += [(f"{c} not in [{lo:g}, {hi:g}]", f"NOT ({c} BETWEEN {lo} AND {hi})") for c, lo, hi in _reading_ranges()]
+    return cases
+
+
+@query("value_constraints", O.with_(O.SILVER) + ", a AS (SELECT count(*) AS checked_rows, " + ", ".join(
+    [f"count_if({c} IS NULL) AS v_nn_{c}" for c in S.READINGS_CRITICAL]
+    + [f"count_if(NOT ({c} BETWEEN {lo} AND {hi})) AS v_rg_{c}" for c, lo, hi in VALUE_RANGES
+       if c in ("temperature_celsius", "humidity_percent")]) + " FROM silver)\n" + "\nUNION ALL\n".join(
+    [f"SELECT 'not_null' AS rule, '{c}' AS column_name, checked_rows, v_nn_{c} AS violations FROM a"
+     for c in S.READINGS_CRITICAL]
+    + [f"SELECT 'range[{lo:g},{hi:g}]' AS rule, '{c}' AS column_name, checked_rows, v_rg_{c} AS violations FROM a"
+       for c, lo, hi in VALUE_RANGES if c in ("temperature_celsius", "humidity_percent")]))
+def value_constraints(spark, sf_dir):
+    return violation_counts(S.readings(spark, sf_dir), _reading_ranges(), S.READINGS_CRITICAL)
+
+
+@query("quarantine_split", O.with_(O.SILVER) + """,
+tagged AS (SELECT event_id, concat_ws('; ', """ + ", ".join(
+    f"CASE WHEN {cond} THEN '{label}' END" for label, cond in _violation_cases_sql()) + """) AS dq_reasons
+           FROM silver)
+SELECT event_id, CASE WHEN dq_reasons = '' THEN 'valid' ELSE 'quarantine' END AS dq_status, dq_reasons
+FROM tagged""")
+def quarantine_split(spark, sf_dir):
+    tagged = route(S.readings(spark, sf_dir), _reading_ranges(), S.READINGS_CRITICAL)
+    return tagged.select("event_id", "dq_status", F.array_join("dq_reasons", "; ").alias("dq_reasons"))
+
+
+@query("gold_uniqueness", O.with_(O.SILVER, O.NAMES, O.GOLD_DAILY) + f""",
+t AS (SELECT (SELECT count(*) FROM gold_daily) AS total_rows,
+             (SELECT count(*) FROM (SELECT DISTINCT city_name, country_code, measurement_date FROM gold_daily))
+             AS distinct_rows)
+SELECT total_rows, distinct_rows, total_rows - distinct_rows AS duplicate_count,
+       {_pct_sql('(total_rows - distinct_rows)', 'total_rows')} AS duplicate_rate FROM t""")
+def gold_uniqueness(spark, sf_dir):
+    return duplicate_stats(S.gold_metrics(spark, sf_dir, daily=True),
+                           ["city_name", "country_code", "measurement_date"])
+
+
+@query("freshness", O.with_(O.SILVER) + f"""
+SELECT max(measurement_ts) AS last_data_update,
+       datesub('hour', max(measurement_ts), {O.AS_OF}) AS hours_since_update FROM silver""")
+def freshness_q(spark, sf_dir):
+    from strata.operators.rules import freshness
+    return freshness(S.readings(spark, sf_dir), "measurement_ts", S.fixed_ts(S.AS_OF))
+
+
+# ---------------------------------------------------------------------------
+# Merge, defaults, map-shaped documents, increments
+# ---------------------------------------------------------------------------
+
+def _parties(df, key, name, nation, balance):
+    return df.select(F.col(key).alias("party_key"), F.col(name).alias("party_name"),
+                     F.col(nation).alias("nation_key"), F.col(balance).alias("balance"))
+
+
+@query("insert_if_absent", f"""
+WITH existing AS (
+  SELECT s_suppkey AS party_key, s_name AS party_name, s_nationkey AS nation_key, s_acctbal AS balance,
+         TRUE AS is_active, {O.RUN_TS} AS created_at FROM supplier),
+batch AS (
+  SELECT c_custkey AS party_key, c_name AS party_name, c_nationkey AS nation_key, c_acctbal AS balance
+  FROM customer
+  UNION ALL
+  SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier),
+firsts AS (SELECT * FROM batch
+           QUALIFY row_number() OVER (PARTITION BY party_key ORDER BY balance DESC, party_name) = 1)
+SELECT * FROM existing
+UNION ALL
+SELECT party_key, party_name, nation_key, balance, TRUE AS is_active, {O.RUN_TS} AS created_at
+FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.party_key = f.party_key)""")
+def insert_if_absent(spark, sf_dir):
+    now = S.fixed_ts(S.RUN_TS)
+    existing = _parties(load(spark, sf_dir, "supplier"), "s_suppkey", "s_name", "s_nationkey", "s_acctbal") \
+        .withColumns({"is_active": F.lit(True), "created_at": now})
+    batch = _parties(load(spark, sf_dir, "customer"), "c_custkey", "c_name", "c_nationkey", "c_acctbal") \
+        .unionByName(_parties(load(spark, sf_dir, "supplier"), "s_suppkey", "s_name", "s_nationkey",
+                              "s_acctbal"))
+    batch = batch.withColumns({"is_active": F.lit(None).cast("boolean"),
+                               "created_at": F.lit(None).cast("timestamp_ntz")})
+    batch = apply_defaults(batch, {"is_active": True, "created_at": "now"}, now=now)
+    return insert_absent(existing, batch, ["party_key"], ["balance desc", "party_name"])
+
+
+@query("column_defaults", f"""
+SELECT c_custkey, coalesce(nullif(c_mktsegment, 'BUILDING'), 'UNSPECIFIED') AS market_segment,
+       TRUE AS is_active, {O.RUN_TS} AS registered_at
+FROM customer""")
+def column_defaults(spark, sf_dir):
+    c = load(spark, sf_dir, "customer").select(
+        "c_custkey", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("market_segment"),
+        F.lit(None).cast("boolean").alias("is_active"), F.lit(None).cast("timestamp_ntz").alias("registered_at"))
+    return apply_defaults(c, {"market_segment": "UNSPECIFIED", "is_active": True, "registered_at": "now"},
+                          now=S.fixed_ts(S.RUN_TS))
+
+
+@query("stock_series", """
+WITH docs AS (
+  SELECT user_id AS stock_symbol, CAST(ts AS DATE) AS last_refreshed, ts AS ingestion_timestamp, event_id, props
+  FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1)
+SELECT stock_symbol, last_refreshed, key AS series_key,
+       CAST(json_extract_string(props, '$."' || key || '"') AS INTEGER) AS series_value,
+       CAST(json_extract_string(props, '$.k') AS INTEGER) AS meta_k
+FROM (SELECT *, unnest(json_keys(props)) AS key FROM docs)""")
+def stock_series(spark, sf_dir):
+    docs = load(spark, sf_dir, "events").select(
+        F.col("user_id").alias("stock_symbol"), F.to_date("ts").alias("last_refreshed"),
+        F.col("ts").alias("ingestion_timestamp"), "event_id",
+        F.from_json("props", "map<string,string>").alias("series"))
+    latest_docs = dedup_latest(docs, ["stock_symbol", "last_refreshed"],
+                               ["ingestion_timestamp desc", "event_id desc"])
+    with_meta = latest_docs.withColumn("meta_k", map_value("series", "k").try_cast("int"))
+    return explode_series(with_meta, "series", ["stock_symbol", "last_refreshed", "meta_k"], "series_key",
+                          value_alias="series_value").withColumn(
+        "series_value", F.col("series_value").try_cast("int"))
+
+
+@query("incremental_extract", """
+SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '2000-01-01 00:00:00'""")
+def incremental_extract(spark, sf_dir):
+    from strata.sources.files import read_increment
+    inc = read_increment(load(spark, sf_dir, "orders"), "o_orderdate", "2000-01-01 00:00:00")
+    return ordered(inc, ["o_orderdate", "o_orderkey"])

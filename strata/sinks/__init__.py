@@ -1,0 +1,5 @@
+from strata.sinks.files import (date_parts, envelopes, land_csv, read_back, write_envelopes, write_landing,
+                                write_layer, write_report)
+
+__all__ = ["date_parts", "envelopes", "land_csv", "read_back", "write_envelopes", "write_landing",
+           "write_layer", "write_report"]
