@@ -546,3 +546,145 @@ def incremental_extract(spark, sf_dir):
     from strata.sources.files import read_increment
     inc = read_increment(load(spark, sf_dir, "orders"), "o_orderdate", "2000-01-01 00:00:00")
     return ordered(inc, ["o_orderdate", "o_orderkey"])
+
+
+# ---------------------------------------------------------------------------
+# Write / read round trips (A1-A5, A11-A14, B1-B8): written to a fresh folder
+# below the shared checkpoint folder, read back with explicit schemas.
+# ---------------------------------------------------------------------------
+
+def _scratch(spark, name):
+    from strata.session import scratch_path
+    return scratch_path(spark, name)
+
+
+@query("partitioned_write", O.with_(O.SILVER, O.NAMES) + """
+SELECT n.country_code, count(*) AS records FROM silver s JOIN names n ON s.city_id = n.city_id
+GROUP BY n.country_code""")
+def partitioned_write(spark, sf_dir):
+    from strata.sinks.files import read_back, write_layer
+    path = _scratch(spark, "silver_weather")
+    written = write_layer(S.silver_weather(spark, sf_dir), path, ["country_code"])
+    counts = read_back(spark, path, "country_code")
+    # Read-back verification: the files hold exactly what the write observed.
+    total = counts.agg(F.sum("records")).first()[0]
+    if total != written:
+        raise RuntimeError(f"read-back {total} rows, wrote {written}")
+    return counts
+
+
+_DAY = "2024-01-15"
+
+
+@query("date_partition_scan", f"""
+SELECT event_id, ts, user_id, event_type, value, props,
+       strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day
+FROM events WHERE CAST(ts AS DATE) = DATE '{_DAY}'""")
+def date_partition_scan(spark, sf_dir):
+    import datetime as dt
+
+    from strata.sinks.files import write_landing
+    from strata.sources.files import read_partitions
+    events = load(spark, sf_dir, "events")
+    root = _scratch(spark, "landing_events")
+    write_landing(events, root, "ts", fmt="json")
+    return read_partitions(spark, root, "json", events.schema, day=dt.date.fromisoformat(_DAY))
+
+
+@query("csv_roundtrip", f"""
+SELECT *, 'orders_extract' AS source, 'orders.csv' AS original_filename,
+       DATE '2024-02-01' AS ingestion_date, '2024' AS year, '02' AS month, '01' AS day
+FROM orders""")
+def csv_roundtrip(spark, sf_dir):
+    from pyspark.sql import types as T
+
+    from strata.sinks.files import land_csv
+    from strata.sources.files import read_partitions
+    orders = load(spark, sf_dir, "orders")
+    root = _scratch(spark, "landing_orders")
+    land_csv(orders, root, "orders_extract", "orders.csv", F.to_date(F.lit("2024-02-01")), "ingestion_date")
+    schema = T.StructType([*orders.schema.fields, T.StructField("source", T.StringType()),
+                           T.StructField("original_filename", T.StringType()),
+                           T.StructField("ingestion_date", T.DateType())])
+    return read_partitions(spark, root, "csv", schema)
+
+
+@query("envelope_roundtrip", """
+SELECT *, '2024-02-01T00:00:00.000000' AS meta_extraction_timestamp FROM orders""")
+def envelope_roundtrip(spark, sf_dir):
+    from pyspark.sql import types as T
+
+    from strata.sinks.files import write_envelopes
+    from strata.sources.files import read_json_lines
+    from strata.sources.payloads import read_envelope
+    orders = load(spark, sf_dir, "orders")
+    path = _scratch(spark, "orders_envelope")
+    write_envelopes(orders, path, S.fixed_ts(S.RUN_TS), chunk_rows=1000)
+    schema = T.StructType([
+        T.StructField("data", T.ArrayType(orders.schema)),
+        T.StructField("metadata", T.StructType([
+            T.StructField("row_count", T.LongType()), T.StructField("columns", T.ArrayType(T.StringType())),
+            T.StructField("extraction_timestamp", T.StringType())])),
+    ])
+    rows = read_envelope(read_json_lines(spark, path, schema))
+    return rows.drop("meta_row_count", "meta_columns")
+
+
+@query("catalog_views", O.with_(O.SILVER, O.NAMES, O.GOLD) + """
+SELECT city_name, country_code, max_temperature AS highest_temp, min_temperature AS lowest_temp,
+       max_temperature - min_temperature AS temperature_range, avg_temperature
+FROM gold WHERE max_temperature - min_temperature > 5""")
+def catalog_views(spark, sf_dir):
+    from strata.sinks.files import write_layer
+    from strata.sources.catalog import VIEWS, create_namespace, create_view, register_table, repair
+    base = _scratch(spark, "warehouse")
+    gold_path = base + "/gold/aggregated_weather_metrics"
+    write_layer(S.gold_metrics(spark, sf_dir), gold_path)
+    previous = spark.catalog.currentDatabase()
+    try:
+        create_namespace(spark, "strata_wh", location=base + "/db")
+        register_table(spark, "strata_wh.aggregated_weather_metrics", gold_path)
+        repair(spark, "strata_wh.aggregated_weather_metrics")
+        return create_view(spark, "v_weather_extremes", VIEWS["v_weather_extremes"])
+    finally:
+        spark.sql(f"USE `{previous}`")
+
+
+# ---------------------------------------------------------------------------
+# Structured Streaming (S1-S3): availableNow runs over the table files
+# ---------------------------------------------------------------------------
+
+@query("stream_incremental", "SELECT * FROM events")
+def stream_incremental(spark, sf_dir):
+    from strata.streaming.incremental import stream_land
+    schema = load(spark, sf_dir, "events").schema
+    out = _scratch(spark, "stream_land")
+    for _ in range(2):
+        # The second run over the same checkpoint finds nothing new: no repeats.
+        stream_land(spark, sf_dir, schema, out + "/data", out + "/_checkpoint", pathGlobFilter="events.parquet")
+    return spark.read.schema(schema).parquet(out + "/data")
+
+
+@query("stream_dedup", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+def stream_dedup_q(spark, sf_dir):
+    from strata.streaming.incremental import read_stream, run_available
+    schema = load(spark, sf_dir, "lineitem").schema
+    out = _scratch(spark, "stream_dedup")
+    stream = (read_stream(spark, sf_dir, schema, pathGlobFilter="lineitem.parquet")
+              .select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp").alias("event_time"))
+              .withWatermark("event_time", "30 days")
+              .dropDuplicatesWithinWatermark(["l_orderkey", "l_linenumber"]))
+    run_available(stream, out + "/data", out + "/_checkpoint")
+    return spark.read.parquet(out + "/data").select("l_orderkey", "l_linenumber")
+
+
+@query("stream_merge", """
+SELECT *, CAST(ts AS DATE) AS event_date FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1""")
+def stream_merge_q(spark, sf_dir):
+    from strata.streaming.incremental import stream_merge
+    schema = load(spark, sf_dir, "events").schema
+    out = _scratch(spark, "stream_merge")
+    stream_merge(spark, sf_dir, schema, ["user_id", "ts"], ["event_id desc"], "event_date", F.to_date("ts"),
+                 out + "/table", out + "/_checkpoint", pathGlobFilter="events.parquet")
+    return spark.read.parquet(out + "/table")

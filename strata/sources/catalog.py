@@ -17,8 +17,10 @@ def _ident(name: str) -> str:
     return ".".join(f"`{p}`" for p in parts)
 
 
-def create_namespace(spark: SparkSession, name: str, use: bool = True) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(name)}")
+def create_namespace(spark: SparkSession, name: str, use: bool = True, location: str | None = None) -> None:
+    """``CREATE DATABASE IF NOT EXISTS`` (optionally at a shared location) [+ ``USE``]."""
+    where = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(name)}{where}")
     if use:
         spark.sql(f"USE {_ident(name)}")
 
@@ -36,9 +38,13 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     return spark.table(name)
 
 
-def repair(spark: SparkSession, name: str) -> None:
-    """Pick up partitions added to a partitioned table's folder."""
+def repair(spark: SparkSession, name: str) -> bool:
+    """Pick up partitions added to a partitioned table's folder; a no-op
+    (returns False) for an unpartitioned table."""
+    if not any(c.isPartition for c in spark.catalog.listColumns(name)):
+        return False
     spark.sql(f"MSCK REPAIR TABLE {_ident(name)}")
+    return True
 
 
 def create_view(spark: SparkSession, name: str, select_sql: str) -> DataFrame:

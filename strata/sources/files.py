@@ -77,8 +77,11 @@ def read_partitions(spark: SparkSession, root: str, fmt: str, schema: T.StructTy
     the partition columns, so only the matching folders are listed and read
     (partition pruning) and the partition values stay available as columns.
     The partition columns are declared as strings to keep the zero padding.
+    Landed JSON is read as JSON lines (splittable) unless told otherwise.
     """
     full = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in PARTITION_COLS]])
+    if fmt == "json":
+        options = {"multiLine": "false", **options}
     df = read_bronze(spark, root, fmt, full, **options)
     return df.where(partition_filter(day)) if day is not None else df
 
