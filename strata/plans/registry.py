@@ -373,20 +373,19 @@ def _profile_sql() -> str:
     for c in numeric:
         aggs += [f"min({c}::DOUBLE) AS mn_{c}", f"max({c}::DOUBLE) AS mx_{c}", f"avg({c}::DOUBLE) AS av_{c}",
                  f"stddev_samp({c}::DOUBLE) AS sd_{c}", f"count({c})::DOUBLE AS ct_{c}"]
-    rows = ["('*', 'row_count', total::DOUBLE)", f"('*', 'column_count', {len(cols)}::DOUBLE)"]
-    rows += [f"('{c}', 'null_rate', {_pct_sql(f'n_{c}', 'total')})" for c in cols]
-    rows += ["('user_id,ts', 'duplicate_count', (total - distinct_keys)::DOUBLE)",
-             f"('user_id,ts', 'duplicate_rate', {_pct_sql('(total - distinct_keys)', 'total')})"]
+    rows = [("*", "row_count", "total::DOUBLE"), ("*", "column_count", f"{len(cols)}::DOUBLE")]
+    rows += [(c, "null_rate", _pct_sql(f"n_{c}", "total")) for c in cols]
+    rows += [("user_id,ts", "duplicate_count", "(total - distinct_keys)::DOUBLE"),
+             ("user_id,ts", "duplicate_rate", _pct_sql("(total - distinct_keys)", "total"))]
     for c in numeric:
-        rows += [f"('{c}', 'min', mn_{c})", f"('{c}', 'max', mx_{c})", f"('{c}', 'avg', av_{c})",
-                 f"('{c}', 'stddev', sd_{c})", f"('{c}', 'count', ct_{c})"]
-    body = "\nUNION ALL\n".join(f"SELECT 'events' AS dataset, {row[1:-1]} FROM a" for row in rows)
-    body = body.replace("FROM a", "FROM a", 1)
+        rows += [(c, "min", f"mn_{c}"), (c, "max", f"mx_{c}"), (c, "avg", f"av_{c}"),
+                 (c, "stddev", f"sd_{c}"), (c, "count", f"ct_{c}")]
+    long_rows = "\nUNION ALL\n".join(
+        f"SELECT '{col}' AS column_name, '{metric}' AS metric, {expr} AS value FROM a"
+        for col, metric, expr in rows)
     return ("WITH " + _EV_NULL_CTE + ", a AS (SELECT " + ", ".join(aggs) + " FROM e),\n"
-            "p AS (" + "\nUNION ALL\n".join(
-                f"SELECT 'events' AS dataset, {row[1:-1]}" + " FROM a" for row in rows) + ")\n"
-            "SELECT dataset, col0 AS column_name, col1 AS metric, " + O.r("col2", 4) + " AS value FROM ("
-            "SELECT dataset, * EXCLUDE (dataset) FROM p) q(dataset, col0, col1, col2)")
+            f"p AS ({long_rows})\n"
+            f"SELECT 'events' AS dataset, column_name, metric, {O.r('value', 4)} AS value FROM p")
 
 
 @query("quality_profile", _profile_sql())
