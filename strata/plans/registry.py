@@ -687,3 +687,37 @@ def stream_merge_q(spark, sf_dir):
     stream_merge(spark, sf_dir, schema, ["user_id", "ts"], ["event_id desc"], "event_date", F.to_date("ts"),
                  out + "/table", out + "/_checkpoint", pathGlobFilter="events.parquet")
     return spark.read.parquet(out + "/table")
+
+
+@query("json_array_scan", "SELECT * FROM events")
+def json_array_scan(spark, sf_dir):
+    """Bronze objects as one-line JSON arrays of documents, read back over
+    the whole prefix (each array line unwraps to one row per document)."""
+    from strata.sinks.files import write_json_arrays
+    from strata.sources.files import read_json_lines
+    events = load(spark, sf_dir, "events")
+    path = _scratch(spark, "json_arrays")
+    write_json_arrays(events, path, chunk_rows=500)
+    return read_json_lines(spark, path, events.schema)
+
+
+@query("payload_triage", """
+SELECT CASE WHEN event_type = 'error' THEN 'Error Message'
+            WHEN value > 500 THEN 'Note' END AS reject_reason,
+       count(*) AS payloads
+FROM events GROUP BY 1""")
+def payload_triage(spark, sf_dir):
+    from strata.sources.payloads import triage
+    # error events stand in for error payloads, extreme values for rate-limit notes
+    payloads = load(spark, sf_dir, "events").select(
+        F.when(F.col("event_type") == "error", F.lit("bad request")).alias("Error Message"),
+        F.when(F.col("value") > 500, F.lit("call frequency")).alias("Note"))
+    return group_profile(triage(payloads), ["reject_reason"], {"payloads": F.count(F.lit(1))})
+
+
+@query("distinct_partitions", O.with_(O.SILVER, O.NAMES) + """
+SELECT DISTINCT n.country_code FROM silver s JOIN names n ON s.city_id = n.city_id""")
+def distinct_partitions(spark, sf_dir):
+    # distinct cities first (partial dedup), then their countries
+    cities = S.readings(spark, sf_dir).select("city_id").distinct()
+    return cities.join(S.city_names(spark, sf_dir), "city_id").select("country_code").distinct()

@@ -17,18 +17,33 @@ from strata.sources.files import TS_FORMAT
 _LOCAL_BITS = (1 << 33) - 1
 
 
+def _chunk_id(chunk_rows: int):
+    """(partition, local position // chunk_rows): groups of at most
+    ``chunk_rows`` rows that never span two input partitions."""
+    if chunk_rows <= 0:
+        raise ValueError("chunk_rows must be positive")
+    mid = F.monotonically_increasing_id()
+    return F.struct(F.shiftrightunsigned(mid, 33).alias("p"),
+                    F.floor(mid.bitwiseAND(F.lit(_LOCAL_BITS)) / chunk_rows).alias("c"))
+
+
 def write_layer(df: DataFrame, path: str, partitions: Sequence[str] | None = None, mode: str = "overwrite",
-                fmt: str = "parquet", compression: str = "snappy", dynamic: bool = True) -> int:
+                fmt: str = "parquet", compression: str = "snappy", dynamic: bool = True,
+                max_records_per_file: int | None = 5_000_000) -> int:
     """Write a layer and return the number of rows written.
 
     With partitions and ``dynamic=True`` an overwrite replaces only the
     partitions present in ``df`` and keeps the others (a daily run does not
     wipe earlier days). NULL partition values are written to the default
-    partition and read back as NULL.
+    partition and read back as NULL. Tasks write their rows straight into the
+    partition folders (no shuffle by partition value, so a hot partition is
+    spread over all tasks); ``max_records_per_file`` bounds file sizes.
     """
     obs = Observation("strata_write")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode).format(fmt)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     if fmt == "parquet":
         writer = writer.option("compression", compression)
     if fmt in ("json", "csv"):
@@ -72,13 +87,8 @@ def envelopes(df: DataFrame, extraction_ts: Column, chunk_rows: int = 10_000) ->
     partition-local row position), so no document - and no group - is
     larger than ``chunk_rows`` however the data is distributed.
     """
-    if chunk_rows <= 0:
-        raise ValueError("chunk_rows must be positive")
     cols = df.columns
-    mid = F.monotonically_increasing_id()
-    chunk = F.struct(F.shiftrightunsigned(mid, 33).alias("p"),
-                     F.floor(mid.bitwiseAND(F.lit(_LOCAL_BITS)) / chunk_rows).alias("c"))
-    grouped = df.withColumn("__chunk", chunk).groupBy("__chunk").agg(
+    grouped = df.withColumn("__chunk", _chunk_id(chunk_rows)).groupBy("__chunk").agg(
         F.collect_list(F.struct(*cols)).alias("data"))
     meta = F.struct(
         F.size("data").cast("bigint").alias("row_count"),
@@ -88,6 +98,19 @@ def envelopes(df: DataFrame, extraction_ts: Column, chunk_rows: int = 10_000) ->
     return grouped.select("data", meta.alias("metadata"))
 
 
+def json_arrays(df: DataFrame, chunk_rows: int = 1_000) -> DataFrame:
+    """One text line per chunk of at most ``chunk_rows`` rows holding a JSON
+    array of the rows - the landed shape of API payload lists. Chunks are
+    partition-local, so no group grows with the data."""
+    grouped = df.withColumn("__chunk", _chunk_id(chunk_rows)).groupBy("__chunk").agg(
+        F.collect_list(F.struct(*df.columns)).alias("docs"))
+    return grouped.select(F.to_json("docs", {"timestampNTZFormat": TS_FORMAT}).alias("value"))
+
+
+def write_json_arrays(df: DataFrame, path: str, chunk_rows: int = 1_000) -> None:
+    json_arrays(df, chunk_rows).write.mode("overwrite").text(path)
+
+
 def write_envelopes(df: DataFrame, path: str, extraction_ts: Column, chunk_rows: int = 10_000) -> int:
     """Write envelope documents as JSON lines; refuses an empty input.
     Returns the number of data rows written."""
