@@ -164,3 +164,28 @@ def test_catalog_registration(spark, tmp):
     t = register_table(spark, "gold_tbl", path)
     assert t.count() == 1
     assert repair(spark, "gold_tbl") is False  # unpartitioned: nothing to repair
+
+
+def test_read_increment_is_strict_and_drops_null_times(spark):
+    from strata.sources import read_increment
+    df = spark.createDataFrame(
+        [(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 2)), (3, None)], "id int, ts timestamp")
+    assert read_increment(df, "ts", None).count() == 3
+    assert [r.id for r in read_increment(df, "ts", "2024-01-01 00:00:00").collect()] == [2]
+
+
+def test_land_stamps_and_source_file(spark, tmp):
+    from strata.sources import land, with_source_file
+    path = os.path.join(tmp, "p")
+    spark.createDataFrame([(1,)], "id int").write.parquet(path)
+    df = land(with_source_file(spark.read.parquet(path)), F.lit("2024-01-01").cast("timestamp"),
+              city_search="London")
+    r = df.first()
+    assert r.city_search == "London" and r.source_file.endswith(".parquet")
+    assert r.ingestion_timestamp == dt.datetime(2024, 1, 1)
+
+
+def test_shuffle_sizing():
+    from strata.session import shuffle_sizing
+    assert shuffle_sizing(10 << 20, 8)["spark.sql.shuffle.partitions"] == "8"
+    assert int(shuffle_sizing(100 << 40, 8000)["spark.sql.shuffle.partitions"]) == 409600
