@@ -19,7 +19,7 @@ from strata.operators.clean import dedup_latest, require, stamp
 from strata.operators.dimension import dimension
 from strata.operators.flatten import flatten
 from strata.operators.quality import null_rates
-from strata.operators.rules import gate, null_threshold_check, split
+from strata.operators.rules import gate, null_threshold_check, route
 from strata.operators.series import explode_series, map_value
 from strata.operators.window import latest
 from strata.schemas import (NULL_THRESHOLDS, STOCK_BAR_FIELDS, STOCK_BRONZE, STOCK_META_REFRESHED,
@@ -120,7 +120,7 @@ class LayerResult:
 
 def build_layers(spark: SparkSession, bronze_root: str, silver_path: str, gold_root: str,
                  day: dt.date | None = None, processed_at: Column | None = None,
-                 quarantine_path: str | None = None) -> LayerResult:
+                 quarantine_path: str | None = None, salt_buckets: int | None = 8) -> LayerResult:
     """Run the weather warehouse for one landed day (all days if None).
 
     bronze (partition-pruned read) -> silver (range rules split valid rows
@@ -129,13 +129,17 @@ def build_layers(spark: SparkSession, bronze_root: str, silver_path: str, gold_r
     """
     bronze = read_partitions(spark, bronze_root, "json", WEATHER_BRONZE, day=day, multiLine="true") \
         if day is not None else read_bronze(spark, bronze_root, "json", WEATHER_BRONZE)
-    silver = weather_silver(bronze, processed_at)
-    valid, bad = split(silver, ranges=VALUE_RANGES)
+    tagged = route(weather_silver(bronze, processed_at), ranges=VALUE_RANGES)
     quarantined = 0
     if quarantine_path:
+        # Both outputs come from one bronze scan: the routed rows are
+        # materialised once (reliable checkpoint in the shared folder).
+        tagged = tagged.checkpoint(eager=True)
+        bad = tagged.where(F.col("dq_status") == "quarantine").drop("dq_status")
         quarantined = write_layer(bad.withColumn("dq_reasons", F.array_join("dq_reasons", "; ")),
                                   quarantine_path, mode="append")
-    silver_rows = write_layer(valid, silver_path, ["country_code"])
+    valid = tagged.where(F.col("dq_status") == "valid").drop("dq_status", "dq_reasons")
+    silver_rows = write_layer(valid, silver_path, ["country_code"], salt_buckets=salt_buckets)
     stored = spark.read.parquet(silver_path)
     gate(null_threshold_check(spark, null_rates(stored), NULL_THRESHOLDS, "silver"), label="silver null rates")
     gold = {

@@ -189,3 +189,13 @@ def test_shuffle_sizing():
     from strata.session import shuffle_sizing
     assert shuffle_sizing(10 << 20, 8)["spark.sql.shuffle.partitions"] == "8"
     assert int(shuffle_sizing(100 << 40, 8000)["spark.sql.shuffle.partitions"]) == 409600
+
+
+def test_salted_partitioned_write_bounds_writers(spark, tmp):
+    path = os.path.join(tmp, "salted")
+    df = spark.range(0, 3000).repartition(12).select(
+        F.col("id"), F.when(F.col("id") < 2000, F.lit("HOT")).otherwise(F.lit("COLD")).alias("country_code"))
+    assert write_layer(df, path, ["country_code"], salt_buckets=3) == 3000
+    hot_files = [f for f in os.listdir(os.path.join(path, "country_code=HOT")) if f.endswith(".parquet")]
+    assert 1 <= len(hot_files) <= 3  # at most salt_buckets writers for the hot value
+    assert spark.read.parquet(path).count() == 3000
