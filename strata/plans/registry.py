@@ -635,16 +635,17 @@ SELECT city_name, country_code, max_temperature AS highest_temp, min_temperature
 FROM gold WHERE max_temperature - min_temperature > 5""")
 def catalog_views(spark, sf_dir):
     from strata.sinks.files import write_layer
-    from strata.sources.catalog import VIEWS, create_namespace, create_view, register_table, repair
+    from strata.sources.catalog import create_namespace, register_product_views, register_table, repair
     base = _scratch(spark, "warehouse")
     gold_path = base + "/gold/aggregated_weather_metrics"
     write_layer(S.gold_metrics(spark, sf_dir), gold_path)
     previous = spark.catalog.currentDatabase()
     try:
         create_namespace(spark, "strata_wh", location=base + "/db")
-        register_table(spark, "strata_wh.aggregated_weather_metrics", gold_path)
+        table = register_table(spark, "strata_wh.aggregated_weather_metrics", gold_path)
         repair(spark, "strata_wh.aggregated_weather_metrics")
-        return create_view(spark, "v_weather_extremes", VIEWS["v_weather_extremes"])
+        register_product_views(spark, table)
+        return spark.sql("SELECT * FROM v_weather_extremes")
     finally:
         spark.sql(f"USE `{previous}`")
 

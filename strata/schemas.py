@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Bronze weather document (nested JSON)
+# Field names of the weather API document and of the silver
+# columns they map to (the names the reports and catalog tables use).
 # ---------------------------------------------------------------------------
 WEATHER_BRONZE = T.StructType(
     [

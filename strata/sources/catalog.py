@@ -54,22 +54,19 @@ def create_view(spark: SparkSession, name: str, select_sql: str) -> DataFrame:
     return spark.table(name)
 
 
-# The reporting views of the warehouse, as SQL over the gold tables.
-VIEWS = {
-    "v_current_weather_summary": """
-        SELECT wt.city_name, wt.country_code, wt.current_temp, wt.current_humidity, wt.weather_condition,
-               awm.avg_temperature AS historical_avg_temp,
-               wt.current_temp - awm.avg_temperature AS temp_deviation
-        FROM weather_trends wt LEFT JOIN aggregated_weather_metrics awm ON wt.city_name = awm.city_name""",
-    "v_city_climate_profile": """
-        SELECT dc.city_name, dc.country_code, dc.latitude, dc.longitude, awm.avg_temperature,
-               awm.avg_humidity, awm.avg_pressure,
-               CASE WHEN awm.avg_temperature < 10 THEN 'Cold'
-                    WHEN awm.avg_temperature BETWEEN 10 AND 20 THEN 'Temperate'
-                    ELSE 'Warm' END AS climate_classification
-        FROM dim_city dc LEFT JOIN aggregated_weather_metrics awm ON dc.city_name = awm.city_name""",
-    "v_weather_extremes": """
-        SELECT city_name, country_code, max_temperature AS highest_temp, min_temperature AS lowest_temp,
-               max_temperature - min_temperature AS temperature_range, avg_temperature
-        FROM aggregated_weather_metrics WHERE max_temperature - min_temperature > 5""",
-}
+def register_product_views(spark: SparkSession, metrics: DataFrame, trends: DataFrame | None = None,
+                           dim: DataFrame | None = None, dim_attrs=("latitude", "longitude"),
+                           extra_metrics=("avg_pressure",)) -> list[str]:
+    """Expose the reporting views of the warehouse (built by
+    ``strata.plans.products``) as temporary views for SQL users."""
+    from strata.plans import products as P
+
+    views = {"v_weather_extremes": P.weather_extremes(metrics)}
+    if trends is not None:
+        views["v_current_weather_summary"] = P.current_vs_history(trends, metrics)
+    if dim is not None:
+        views["v_city_climate_profile"] = P.climate_profile(dim, metrics, attrs=dim_attrs,
+                                                            extra_metrics=extra_metrics)
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)
