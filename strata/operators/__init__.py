@@ -5,8 +5,8 @@ from strata.operators.flatten import flatten
 from strata.operators.joins import (FanOutError, apply_defaults, assert_unique, bounded_broadcast, enrich,
                                     insert_absent, inserted_rows)
 from strata.operators.order import ordered, sample_rows, top_k
-from strata.operators.quality import (check_schema, duplicate_stats, null_rates, numeric_columns, profile,
-                                      range_stats, schema_report)
+from strata.operators.quality import (check_schema, duplicate_stats, missing_required, null_rates,
+                                      numeric_columns, profile, range_stats, schema_report)
 from strata.operators.rules import (QualityGateError, freshness, gate, null_threshold_check, route,
                                     sparse_groups, split, violation_counts, violations)
 from strata.operators.series import explode_series, map_value
@@ -17,7 +17,7 @@ __all__ = [
     "FanOutError", "QualityGateError", "apply_defaults", "assert_unique", "bounded_broadcast",
     "check_schema", "decomposed_avg", "dedup_any", "dedup_latest", "dense_index", "dimension",
     "duplicate_stats", "enrich", "explode_series", "flatten", "freshness", "gate", "group_profile",
-    "insert_absent", "inserted_rows", "latest", "layer_counts", "map_value", "mean_of_means",
+    "insert_absent", "inserted_rows", "latest", "layer_counts", "map_value", "mean_of_means", "missing_required",
     "null_rates", "null_threshold_check", "numeric_columns", "ordered", "profile", "range_stats",
     "require", "route", "sample_rows", "schema_report", "sparse_groups", "split", "stamp", "top_k",
     "violation_counts", "violations", "with_previous",

@@ -153,6 +153,13 @@ def check_schema(df: DataFrame, expected: Mapping[str, str]) -> dict:
     }
 
 
+def missing_required(df: DataFrame, required: Sequence[str]) -> list[str]:
+    """Required columns absent from ``df`` (a subset check: extra and optional
+    columns are fine). Reads only the schema."""
+    present = set(df.columns)
+    return [c for c in required if c not in present]
+
+
 SCHEMA_REPORT = T.StructType([
     T.StructField("column_name", T.StringType()),
     T.StructField("expected", T.StringType()),

@@ -199,3 +199,16 @@ def test_salted_partitioned_write_bounds_writers(spark, tmp):
     hot_files = [f for f in os.listdir(os.path.join(path, "country_code=HOT")) if f.endswith(".parquet")]
     assert 1 <= len(hot_files) <= 3  # at most salt_buckets writers for the hot value
     assert spark.read.parquet(path).count() == 3000
+
+
+def test_csv_required_columns(spark, tmp):
+    from strata.operators import missing_required
+    from strata.schemas import TRANSACTIONS_REQUIRED
+    ok = os.path.join(tmp, "ok.csv")
+    with open(ok, "w") as fh:
+        fh.write("transaction_id,customer_id,product,amount,timestamp\nT1,C1,Pen,1.00,2024-01-01 00:00:00\n")
+    bad = os.path.join(tmp, "bad.csv")
+    with open(bad, "w") as fh:
+        fh.write("transaction_id,customer_id,product,timestamp,category\nT1,C1,Pen,2024-01-01 00:00:00,X\n")
+    assert missing_required(read_bronze(spark, ok, "csv"), TRANSACTIONS_REQUIRED) == []
+    assert missing_required(read_bronze(spark, bad, "csv"), TRANSACTIONS_REQUIRED) == ["amount"]
