@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.buckets import climate_zone
-from strata.functions.columns import first_of, hours_between
+from strata.functions.columns import first_of
 from strata.operators.aggregate import decomposed_avg, group_profile
 from strata.operators.clean import dedup_latest, require
 from strata.operators.flatten import flatten
 from strata.operators.joins import apply_defaults, insert_absent
-from strata.operators.order import ordered, top_k
+from strata.operators.order import ordered
 from strata.operators.quality import duplicate_stats, null_rates, profile, range_stats
 from strata.operators.rules import null_threshold_check, route, violation_counts
 from strata.operators.series import explode_series, map_value
