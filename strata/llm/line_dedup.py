@@ -44,7 +44,7 @@ def line_key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))
 
 
-def boilerplate(pages: DataFrame, ratio: float = 0.25, min_pages: int = 5) -> DataFrame:
+def boilerplate(pages: DataFrame, ratio: float = 0.1, min_pages: int = 20) -> DataFrame:
     """(host, drop): keys of the boilerplate lines of each host of ``pages`` (host, lines)."""
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
     keys = pages.select("host", F.explode(F.array_distinct(F.transform("lines", line_key))).alias("k"))
@@ -53,7 +53,7 @@ def boilerplate(pages: DataFrame, ratio: float = 0.25, min_pages: int = 5) -> Da
             .groupBy("host").agg(F.collect_list("k").alias("drop")))
 
 
-def drop_boilerplate(pages: DataFrame, ratio: float = 0.25, min_pages: int = 5, salts: int = 16) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, ratio: float = 0.1, min_pages: int = 20, salts: int = 16) -> DataFrame:
     """``pages`` (host, lines, any others) with ``kept``: the lines that are no boilerplate of their host."""
     found = boilerplate(pages.select("host", "lines"), ratio, min_pages)
     found = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

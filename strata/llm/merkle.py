@@ -1,7 +1,8 @@
 """Document fingerprints by a Merkle tree.
 
 A text is cut into sections (at blank lines), sections into paragraphs (lines)
-and paragraphs into clauses (after punctuation and a blank). The pieces put
+and paragraphs into clauses (after a mark that is no letter or digit and a
+blank; clauses over 48 code points every 32). The pieces put
 together give the text again, so nothing is left out of the tree: a paragraph's
 node is the SHA-256 of its text, a section's that of its paragraphs' nodes,
 the root's that of its sections'. Equal roots mean equal texts; different
@@ -26,13 +27,15 @@ from pyspark.sql import functions as F
 
 SECTION = r"(?<=\n\n)(?=[^\n])"
 PARAGRAPH = r"(?<=\n)(?=[^\n])"
-CLAUSE = r"(?<=[.,;:!?][\x20\n])(?=[^\x20\n])"
+CLAUSE = r"(?<=[^\p{L}\p{N}\x20\n][\x20\n])(?=[^\x20\n])"
+LONG_CLAUSE, PIECE = 48, r"(?s)(?<=\G.{32})"
 MAX_CELLS = 65536
 
 
 def clauses(text: Column) -> Column:
-    """64-bit hashes of the clauses."""
-    return F.transform(F.split(text, CLAUSE, -1), lambda x: F.xxhash64(x))
+    """64-bit hashes of the clauses; long ones count as pieces."""
+    pieces = lambda x: F.when(F.length(x) > LONG_CLAUSE, F.split(x, PIECE, -1)).otherwise(F.array(x))
+    return F.flatten(F.transform(F.split(text, CLAUSE, -1), lambda x: F.transform(pieces(x), lambda y: F.xxhash64(y))))
 
 
 def paragraphs(text: Column) -> Column:
