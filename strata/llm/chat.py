@@ -104,7 +104,7 @@ def _segments(template: ChatTemplate):
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["conv_id", "segment", "turn_no", "kind", "text", "loss", "valid", "problem"])
+    return pd.DataFrame(rows, columns=["conv_id", "segment", "turn_no", "kind", "text", "loss", "valid", "problem"], dtype=object)
 
 
 def format_conversations(turns: DataFrame, template: ChatTemplate = ChatTemplate()) -> DataFrame:
@@ -150,10 +150,10 @@ def _read_back(template: ChatTemplate):
                     role, body = turn[len(before):-len(template.close)].split(after, 1)
                     turns.update(f"{restore_role(role)}\n{restore(body)}\n".encode("utf-8", "surrogatepass"))
                     n_turns, turn = n_turns + 1, ""
-            yield pd.DataFrame(done, columns=[x.split()[0] for x in DIGESTS.split(", ")])
+            yield pd.DataFrame(done, columns=[x.split()[0] for x in DIGESTS.split(", ")], dtype=object)
             done = []
         if conv is not none:
-            yield pd.DataFrame([result()], columns=[x.split()[0] for x in DIGESTS.split(", ")])
+            yield pd.DataFrame([result()], columns=[x.split()[0] for x in DIGESTS.split(", ")], dtype=object)
 
     return run
 

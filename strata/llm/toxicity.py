@@ -183,7 +183,7 @@ def _count_features(batches):
     counts: dict[str, list[int]] = {}
 
     def drain():
-        return pd.DataFrame([(k, a, b) for k, (a, b) in counts.items()], columns=["feature", "clean", "toxic"])
+        return pd.DataFrame([(k, a, b) for k, (a, b) in counts.items()], columns=["feature", "clean", "toxic"], dtype=object)
 
     for pdf in batches:
         for text, toxic in zip(pdf["text"], pdf["toxic"]):
@@ -192,7 +192,8 @@ def _count_features(batches):
             if len(counts) > 300_000:
                 yield drain()
                 counts.clear()
-    yield drain()
+    if counts:
+        yield drain()
 
 
 def train(docs: DataFrame, labels: DataFrame, prior: float = 20.0, min_z: float = 3.0, min_docs: int = 4,

@@ -1,0 +1,377 @@
+"""Small tests of the training-data operators: edge cases, brute force, round trips."""
+
+import hashlib
+import os
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from strata.llm import chat, decontam, line_dedup, lm, merkle, mixing, secret_scan, sharding, simhash, toxicity
+from strata.llm.queries import ORACLE, QUERIES
+
+SF = os.environ.get("STRATA_TEST_SF", "/root/testdata/sf0.001")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, shard string, fp string, rid string"
+
+
+def docs_of(spark, rows):
+    """(doc_id, text, source) rows with extra columns whose names clash with the operators' own."""
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), "x", "y", "z", "q") for i, t, s in rows], SCHEMA)
+
+
+LONG = " ".join(f"word{i}, and{i % 7}" for i in range(30_000))
+ODD = [(1, None, "a"), (2, "", None), (3, "   \n\t ", "a"), (4, LONG, "b"), (5, "one", "a"), (6, "one two", None), (None, "one two", "c"),
+       (7, "same text here again", "a"), (7, "same text here again", "a"), (8, "same text here again", "b"), (9, "émile Ünder 日本 語", "c")]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return docs_of(spark, ODD)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+# --- mixing ---------------------------------------------------------------
+
+def brute_targets(sizes, weights, cap):
+    total, over = sum(sizes), set()
+    while True:
+        free = sum(w for i, w in enumerate(weights) if i not in over)
+        left = total - sum(cap * sizes[i] for i in over)
+        now = over | {i for i, w in enumerate(weights) if i not in over and w * left / free > cap * sizes[i]}
+        if now == over:
+            return [cap * sizes[i] if i in over else weights[i] * left / free for i in range(len(sizes))]
+        over = now
+
+
+def test_mix_targets_and_takes(spark):
+    rows = [(i, " ".join(["w"] * (1 + i * 7 % 23)), f"s{i % 5}" if i % 11 else None) for i in range(600)]
+    rows += [(1000 + i, "tiny text", "zz") for i in range(2)]
+    out = [r.asDict() for r in mixing.mix(docs_of(spark, rows)).collect()]
+    assert len(out) == len(rows)
+    names = sorted({s for _, _, s in rows if s}) + [None]
+    sizes = [sum(len(t.split()) for _, t, s in rows if s == n) for n in names]
+    want = dict(zip(names, brute_targets(sizes, [(5, 2, 1)[i % 3] for i in range(len(names))], 3)))
+    for n, size in zip(names, sizes):
+        mine = [r for r in out if r["source"] == n]
+        assert {r["source_size"] for r in mine} == {size}
+        assert mine[0]["target"] == pytest.approx(want[n])
+        assert abs(sum(r["taken"] for r in mine) - want[n]) <= max(r["size"] for r in mine)
+        assert max(r["epochs"] for r in mine) - min(r["epochs"] for r in mine if r["size"]) <= 1
+    assert all(r["taken"] <= 3 * r["size"] for r in out)
+    again = {(r["doc_id"], r["taken"]) for r in mixing.mix(docs_of(spark, rows[::-1]), bucket_rows=50).collect()}
+    assert {(r["doc_id"], r["taken"]) for r in mixing.mix(docs_of(spark, rows), bucket_rows=50).collect()} == again
+
+
+def test_mix_edge_rows(odd, empty):
+    assert mixing.mix(odd).count() == len(ODD)
+    assert mixing.mix(empty).count() == 0
+    repeated = mixing.mixed_documents(odd)
+    assert repeated.columns == odd.columns
+    assert repeated.count() == mixing.mix(odd).agg(F.sum("epochs")).first()[0]
+
+
+def test_quality_favours_documents(spark):
+    rows = [(i, "w " * 10, "a") for i in range(400)] + [(5000, "w " * 4000, "b")]
+    low = F.when(F.col("doc_id") % 2 == 0, 0.1).otherwise(1.0)
+    out = mixing.mix(docs_of(spark, rows), weights=(1, 3), quality=low).where("source = 'a' and taken > 0").collect()
+    odd_share = sum(r["doc_id"] % 2 for r in out) / max(1, len(out))
+    assert odd_share > 0.7
+
+
+# --- sharding ---------------------------------------------------------------
+
+def test_shards_are_gapless_and_stable(spark, odd, empty):
+    rows = [(i, f"text {i % 40} " * (i % 9), "a") for i in range(500)]
+    docs = docs_of(spark, rows).drop("shard")
+    out = sharding.shard(docs, n_shards=5, bucket_bytes=300).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in out) == sorted((i, t) for i, t, _ in rows)
+    for k in range(5):
+        assert sorted(r["slot"] for r in out if r["shard"] == k) == list(range(sum(r["shard"] == k for r in out)))
+    grown = {r["doc_id"]: r["shard"] for r in sharding.shard(docs, n_shards=6).collect()}
+    assert all(grown[r["doc_id"]] == r["grown_shard"] and r["grown_shard"] in (r["shard"], 5) for r in out)
+    assert sorted(map(tuple, sharding.shard(docs, n_shards=5, bucket_bytes=300).collect())) == sorted(map(tuple, out))
+    assert sharding.shard(odd.drop("shard")).count() == len(ODD)
+    assert sharding.shard(empty.drop("shard")).count() == 0
+
+
+# --- SimHash ----------------------------------------------------------------
+
+def brute_simhash(text):
+    words = re.findall(rb"[^\x20\x09-\x0d]+", re.sub(rb"[A-Z]+", lambda m: m[0].lower(), (text or "").encode()))
+    if not words:
+        return 0
+    grams = [words] if len(words) < 3 else [words[i:i + 3] for i in range(len(words) - 2)]
+    hs = [xxhash.xxh64_intdigest(b" ".join(g), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def brute_components(fps):
+    root = list(range(len(fps)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i in range(len(fps)):
+        for j in range(i):
+            if bin(fps[i] ^ fps[j]).count("1") <= 2:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(fps))]
+
+
+def test_simhash_matches_brute_force(spark, odd, empty):
+    out = {(r["doc_id"], r["fingerprint"]) for r in simhash.near_duplicates(odd).collect()}
+    assert out == {(i, f"{brute_simhash(t):016x}") for i, t, _ in ODD}
+    assert simhash.near_duplicates(empty).count() == 0
+    kept = simhash.drop_near_duplicates(odd)
+    assert kept.columns == odd.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 5, 6, 7, 9]
+
+
+@pytest.mark.parametrize("limit", [1, 4, 64])
+def test_links_lose_nothing_when_buckets_are_full(spark, limit):
+    rng = np.random.default_rng(3)
+    base = [int(x) for x in rng.integers(0, 1 << 63, 12)]
+    fps = sorted({b ^ sum(1 << int(k) for k in rng.integers(0, 64, n)) for b in base for n in (0, 1, 1, 2, 2, 3, 4, 5)})
+    signed = [f - (1 << 64) if f >= 1 << 63 else f for f in fps]
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    edges = [(signed.index(r["a"]), signed.index(r["b"])) for r in simhash.links(df, bucket_limit=limit).collect()]
+    assert all(bin(fps[a] ^ fps[b]).count("1") <= 2 for a, b in edges)
+    got = {r["node"]: r["root"] for r in simhash.star_components(simhash.links(df, bucket_limit=limit)).collect()}
+    want = brute_components(fps)
+    same = {}
+    for i, x in enumerate(signed):
+        assert same.setdefault(want[i], got.get(x, x)) == got.get(x, x)
+    assert len(set(same.values())) == len(same)
+
+
+def test_long_chain_is_one_component(spark):
+    edges = spark.createDataFrame([(i + 1, i) for i in range(200)], "a long, b long")
+    assert {r["root"] for r in simhash.star_components(edges).collect()} == {0}
+
+
+# --- decontamination ----------------------------------------------------------
+
+ITEM = "Last spring the farmer Anselm sold 45 crates of pears for 3 dollars each, how much did the farmer earn in the end?"
+
+
+def test_reparameterised_items_are_found(spark, empty):
+    bench = spark.createDataFrame([(1, ITEM), (2, "a short item"), (3, None), (4, "")], "item_id long, text string")
+    other = ITEM.replace("45", "120").replace("Anselm", "Brigitte").replace(" 3 ", " 7 ")
+    rows = [(1, f"Intro words. {ITEM} And more text follows here.", "a"), (2, f"Some lines before it. {other} After.", "a"),
+            (3, "Nothing of the kind is written in this clean text about pears and farmers.", "a"), (4, None, "a"), (5, "", "a"),
+            (6, "Here is a short item indeed", "a"), (None, f"{other}", "a")]
+    found = {(r["doc_id"], r["item_id"]): r["exact"] for r in decontam.contaminated(docs_of(spark, rows), bench).collect()}
+    assert found == {(1, 1): True, (2, 1): False, (6, 2): True, (None, 1): False}
+    unfiltered = decontam.contaminated(docs_of(spark, rows), bench, max_index=0).collect()
+    assert {(r["doc_id"], r["item_id"]): r["exact"] for r in unfiltered} == found
+    kept = decontam.drop_contaminated(docs_of(spark, rows), bench)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5]
+    assert decontam.contaminated(empty, bench).count() == 0
+    assert decontam.contaminated(docs_of(spark, rows), bench.where("false")).count() == 0
+
+
+def test_inconsistent_slots_are_no_match(spark):
+    item = "add 5 to the box then take 5 from the box and write 5 on the lid of the box"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    mixed = "add 6 to the box then take 7 from the box and write 8 on the lid of the box"
+    same = item.replace("5", "9")
+    out = decontam.contaminated(docs_of(spark, [(1, mixed, "a"), (2, same, "a")]), bench).collect()
+    assert [r["doc_id"] for r in out] == [2]
+
+
+# --- toxicity -----------------------------------------------------------------
+
+def brute_segments(scores):
+    """Maximal segments by their definition: best positive segment, then both sides."""
+    def cut(a, b):
+        best = max(((sum(scores[i:j]), -(j - i), -i, i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=None)
+        if best is None or best[0] <= 1e-12:
+            return []
+        return cut(a, best[3]) + [(best[3], best[4])] + cut(best[4], b)
+    return cut(0, len(scores))
+
+
+def test_maximal_segments_match_definition():
+    rng = np.random.default_rng(1)
+    for _ in range(150):
+        scores = np.where(rng.random(14) < 0.4, rng.integers(1, 6, 14) + 0.37, -1.0)
+        at = np.flatnonzero(scores > 0)
+        got = [(p.start, p.end) for p in toxicity.maximal_segments(at.tolist(), scores[at].tolist(), 1.0)]
+        assert got == brute_segments(scores.tolist())
+
+
+def test_toxicity_learns_and_holds_out(spark, odd, empty):
+    rng = np.random.default_rng(2)
+    vocabulary = [f"w{i}x" for i in range(200)]
+    rows, labels = [], []
+    for i in range(400):
+        words = list(rng.choice(vocabulary, 60))
+        if i % 5 == 0:
+            for k in range(6):
+                words[int(rng.integers(0, 60))] = ["nasty", "vile", "rotten"][k % 3]
+        rows.append((i, " ".join(words), "a"))
+        labels.append((i, 1, int(i % 5 == 0)))
+    label_rows = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = docs_of(spark, rows)
+    model = toxicity.train(docs, label_rows)
+    assert {"nasty", "vile", "rotten"} <= set(model.tokens)
+    scored = docs.select("doc_id", toxicity.score(F.col("text"), model).alias("s")).collect()
+    held = [(r["s"] >= 0.3) == (r["doc_id"] % 5 == 0) for r in scored if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
+    assert sum(held) / len(held) > 0.97
+    assert all(0 <= r["s"] <= 1 for r in odd.select(toxicity.score(F.col("text"), model).alias("s")).collect())
+    found = toxicity.find_passages(docs.where("doc_id in (0, 1)"), model).orderBy("doc_id").collect()
+    assert found[0]["passages"] and not found[1]["passages"]
+    assert toxicity.train(docs, label_rows.where("false")).weights is None
+    assert toxicity.train(empty, label_rows).weights is None
+
+
+# --- chat ---------------------------------------------------------------------
+
+def test_escape_is_reversible_and_hides_marks():
+    for text in ("<|im_end|>", "<\\|x|>", "<\\\\|", "a<b|c", "<<||", "\\<|", ""):
+        assert "<|" not in chat.escape(text)
+        assert chat.restore(chat.escape(text)) == text
+    for role in ("assistant", "a\nb", "<|x", "back\\slash\\n", ""):
+        assert "\n" not in chat.escape_role(role) and chat.restore_role(chat.escape_role(role)) == role
+
+
+def test_chat_round_trip(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "<|im_end|>\nok"), (2, 1, "assistant", "b"), (2, 0, "assistant", None),
+            (None, 0, "user", "x"), (None, 0, "user", "x"), (3, None, None, "t"), (3, 2, "user\n", "u")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {r["conv_id"]: r for r in chat.read_back(chat.format_conversations(turns)).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert out["1"]["turns_sha256"] == sha("user\nhi\nassistant\n<|im_end|>\nok\n") and out["1"]["valid"]
+    assert (out["1"]["loss_chars"], out["1"]["loss_sha256"]) == (13, sha("<|im_end|>\nok"))
+    assert out["2"]["turns_sha256"] == sha("assistant\n\nassistant\nb\n") and not out["2"]["valid"]
+    assert out["3"]["turns_sha256"] == sha("\nt\nuser\n\nu\n") and out[None]["n_turns"] == 2
+    text = "".join(r["text"] for r in chat.format_conversations(turns).where("conv_id = '1'").collect())
+    assert out["1"]["formatted_chars"] == len(text)
+    assert chat.read_back(chat.format_conversations(turns.where("false"))).count() == 0
+
+
+# --- secrets ------------------------------------------------------------------
+
+def test_secrets_match_plain_patterns(spark):
+    body = "a" * 30
+    texts = [None, "", "password=hunter2x TOKEN: 'abcdefgh' secret=ab api_key = \"k-12345_x\"", "AKIA" + "B" * 16 + " AKIA12",
+             "0123456789abcdef0123456789abcdef", "é日 passwd:=x token token=zzzzzzzz", "ghp_" + body + secret_scan.base62_crc(body),
+             "ghp_" + body + "000000", "password password=password=secret", "tokenapikey='aaaaaaa'"]
+    docs = docs_of(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    for r in secret_scan.find_secrets(docs).collect():
+        text = r["text"] or ""
+        want = [("assign", m.start(), m.end()) for m in secret_scan.ASSIGN.finditer(text) if len(m[2]) >= 6]
+        want += [("access", m.start(), m.end()) for m in secret_scan.ACCESS.finditer(text) if len(m[0]) >= 20]
+        want += [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        got = [(s["kind"], s["start"], s["end"]) for s in r["secrets"]]
+        assert sorted(g for g in got if g[0] in secret_scan.BASE_KINDS) == sorted(want)
+        assert ("github" in {g[0] for g in got}) == (r["doc_id"] == 6)
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
+    assert clean[0] is None and "hunter2x" not in clean[2]
+
+
+# --- line dedup -----------------------------------------------------------------
+
+def test_boilerplate_lines(spark):
+    rows = [(i, "big", ["Menu", f"line {i}", f"line {i}"]) for i in range(30)] + [(100 + i, "small", ["Menu", "x"]) for i in range(3)]
+    rows += [(200, "", []), (201, "big", [])]
+    pages = spark.createDataFrame(rows, "page_id long, host string, lines array<string>")
+    out = {r["page_id"]: r["kept"] for r in line_dedup.drop_boilerplate(pages).collect()}
+    assert out[3] == ["line 3", "line 3"] and out[101] == ["Menu", "x"] and out[200] == [] and len(out) == len(rows)
+    urls = spark.createDataFrame([("http://A.b:80/x",), (None,), ("junk",), ("https://u@h.org?q",)], "url string")
+    assert [r[0] for r in urls.select(line_dedup.host_of(F.col("url"))).collect()] == ["a.b", "", "", "h.org"]
+    html = spark.createDataFrame([("<p>a <b>b</b></p><script>x</script><!-- c --> d",), (None,)], "html string")
+    assert [r[0] for r in html.select(line_dedup.html_lines(F.col("html"))).collect()] == [["a b", "d"], []]
+
+
+# --- Merkle ---------------------------------------------------------------------
+
+def test_next_document_and_edit(spark, odd, empty):
+    rows = [(i * 1000 - 5000, f"Paragraph {i}, with some words.\nSecond line of {i}!\n\nNew section {i}.", "a") for i in range(60)]
+    out = {r["doc_id"]: r for r in merkle.with_next(docs_of(spark, rows), rows_per_cell=5).collect()}
+    for k, (i, text, _) in enumerate(rows):
+        assert (out[i]["text"], out[i]["next_text"]) == (text, rows[(k + 1) % len(rows)][1])
+    assert merkle.with_next(odd).count() == len(ODD) and merkle.with_next(empty).count() == 0
+    alone = merkle.with_next(docs_of(spark, [(5, "only one", "a")])).first()
+    assert alone["next_text"] == "only one"
+    edit = spark.createDataFrame([("abcde", "xyz"), ("abcdef", "é"), ("a", "z"), ("", "q")], "a string, b string")
+    assert [r[0] for r in edit.select(merkle.edited(F.col("a"), F.col("b"))).collect()] == ["abcxy", "abcé", "a", ""]
+
+
+def test_roots_and_branches(spark):
+    texts = ["One line.\nTwo lines.\n\nNext section, here.", "One line.\nTwo lines.\n\nNext section, there.", "One line.\nTwo lines.\nNext section, here.",
+             "One line.\nTwo lines.\n\n\nNext section, here.", "", None]
+    rows = merkle.fingerprint(docs_of(spark, [(i, t, "a") for i, t in enumerate(texts)])).orderBy("doc_id").collect()
+    prints = [r["fingerprint"] for r in rows]
+    assert len(set(prints[:5])) == 5 and prints[4] == prints[5]
+    pair = spark.createDataFrame([(rows[0]["nodes"], rows[1]["nodes"], rows[0]["leaves"], rows[1]["leaves"])], "a array<array<string>>, b array<array<string>>, x array<long>, y array<long>")
+    places = pair.select(merkle.differing_paragraphs(F.col("a"), F.col("b")), merkle.likeness(F.col("x"), F.col("y"))).first()
+    assert [tuple(p) for p in places[0]] == [(1, 0)] and 0 < places[1] < 1
+
+
+# --- language model -------------------------------------------------------------
+
+def test_lm_base_counts_are_exact(spark, odd, empty):
+    rows = [(i, "The the cat sat, on THE mat " * (i % 4) + f"rare{i}", "a") for i in range(80)] + [(100, None, "a"), (None, "the end", "b")]
+    out = lm.score(docs_of(spark, rows), hot_words=3).collect()
+    words = lambda t: [w.decode() for w in (t or "").encode().lower().split()] + ["\n"]
+    held = lambda i: zlib.crc32((str(i) if i is not None else "").encode()) % 7 == 2
+    from collections import Counter
+    counts = Counter(w for i, t, _ in rows if not held(i) for w in words(t))
+    n, v = sum(counts.values()), len(counts)
+    texts = {i: t for i, t, _ in rows}
+    for r in out:
+        tokens = words(texts[r["doc_id"]])
+        assert r["base_score"] == pytest.approx(sum(np.log10((counts[w] + 1) / (n + v + 1)) for w in tokens))
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(tokens), sum(counts[w] > 0 for w in tokens), n)
+        assert r["held_out"] == held(r["doc_id"]) and r["score"] < 0
+    assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
+    assert lm.score(odd).count() == len(ODD) and lm.score(empty).count() == 0
+
+
+def test_class_model_sums_to_one():
+    rng = np.random.default_rng(0)
+    model = lm.Model(top=[b"the"], bias=rng.normal(size=lm.CLASSES).astype(np.float32),
+                     tables=rng.normal(size=(lm.FEATURES, lm.ROWS, lm.CLASSES)).astype(np.float32))
+    codes = lm._codes([b"a b c the".split()], lm._Codes(model.top))
+    at = np.flatnonzero(codes & np.uint64(63) != np.uint64(63))
+    _, e, total = lm._softmax_parts(model.bias, model.tables, lm._history(codes, at))
+    assert np.allclose((e / total[:, None]).sum(axis=1), 1, atol=1e-5)
+
+
+# --- registered queries -----------------------------------------------------------
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("pages", "documents"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    df = QUERIES[name](spark, SF)
+    cols = sorted(df.columns)
+    cur = con.execute(ORACLE[name])
+    names = [d[0] for d in cur.description]
+    want = sorted(tuple(dict(zip(names, r))[c] for c in cols) for r in cur.fetchall())
+    assert sorted(tuple(r[c] for c in cols) for r in df.collect()) == want
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+
+    docs = corpus_pipeline.documents(spark, SF)
+    out = corpus_pipeline.run(spark, SF)
+    assert set(docs.columns) <= set(out.columns) and 0 < out.count()
+    slots = out.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.max("slot").alias("m"), F.count_distinct("slot").alias("d")).collect()
+    assert all(r["n"] == r["m"] + 1 == r["d"] for r in slots)
+    assert out.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 3
