@@ -39,13 +39,17 @@ def first_of(array: Column | str, field: str | None = None) -> Column:
     return head.getField(field) if field else head
 
 
-def exact_avg(col: Column | str, scale: int = 2, precision: int = 18) -> Column:
-    """Average computed on DECIMAL(precision, scale): the sum is exact, so the
-    result does not depend on summation order (a double sum does, which
-    makes a half-up rounding of the mean flip between runs and engines).
-    Inputs are cast half-up to ``scale`` digits first."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.avg(c.cast(f"decimal({precision},{scale})"))
+def exact_avg(col: Column | str, scale: int = 12, limit: float = 1e15) -> Column:
+    """Average that does not depend on the order of the sum (a double sum does,
+    which makes a half-up rounding of the mean flip between runs and engines).
+
+    Values are summed as DECIMAL with ``scale`` digits, so the mean is off by
+    at most 10^-scale. Groups holding NaN or a value of ``limit`` or more
+    take the plain double average, which keeps NaN and infinities."""
+    c = (F.col(col) if isinstance(col, str) else col).cast("double")
+    plain = F.isnan(c) | (F.abs(c) >= limit)
+    exact = F.avg(F.when(~plain, c).cast(f"decimal({16 + scale},{scale})")).cast("double")
+    return F.when(F.count_if(plain) > 0, F.avg(c)).otherwise(exact)
 
 
 def pct(part: Column, total: Column, digits: int = 2) -> Column:

@@ -563,7 +563,7 @@ GROUP BY n.country_code""")
 def partitioned_write(spark, sf_dir):
     from strata.sinks.files import read_back, write_layer
     path = _scratch(spark, "silver_weather")
-    written = write_layer(S.silver_weather(spark, sf_dir), path, ["country_code"], salt_buckets=4)
+    written = write_layer(S.silver_weather(spark, sf_dir), path, ["country_code"], cluster=True)
     counts = read_back(spark, path, "country_code")
     # Read-back verification: the files hold exactly what the write observed.
     total = counts.agg(F.sum("records")).first()[0]

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,14 +26,24 @@ from strata.operators.window import latest
 from strata.schemas import (NULL_THRESHOLDS, STOCK_BAR_FIELDS, STOCK_BRONZE, STOCK_META_REFRESHED,
                             STOCK_META_SYMBOL, VALUE_RANGES, WEATHER_BRONZE, WEATHER_CRITICAL, WEATHER_KEYS,
                             WEATHER_SILVER_SPEC)
+from strata.session import scratch_path
 from strata.sinks.files import write_layer
 from strata.sources.files import read_bronze, read_partitions
 from strata.sources.payloads import split_payloads
 
+SILVER_PARTITION = "measurement_date"
 GOLD_ROUNDED = ["avg_temperature", "min_temperature", "max_temperature", "avg_humidity", "avg_pressure",
                 "avg_wind_speed"]
 
 
+def _newest(df: DataFrame) -> list[str]:
+    """Total order of twins of one reading: newest ingestion, then all other columns;
+    of rows alike but for the processing time the earlier one stays."""
+    last = ["ingestion_timestamp", "processing_timestamp"]
+    rest = [c for c in df.columns if c not in (*last, *WEATHER_KEYS)]
+    return ["ingestion_timestamp desc", *rest, *(c for c in last[1:] if c in df.columns)]
+
+
 def weather_silver(bronze: DataFrame, processed_at: Column | None = None) -> DataFrame:
     """Flatten the nested documents to the 17 typed silver columns, drop
     rows without id or temperature (NULL or NaN), keep the most recently
@@ -43,9 +54,7 @@ def weather_silver(bronze: DataFrame, processed_at: Column | None = None) -> Dat
     """
     flat = flatten(bronze, WEATHER_SILVER_SPEC)
     kept = require(flat, WEATHER_CRITICAL)
-    order = ["ingestion_timestamp desc", "city_name", "country_code", "temperature_celsius",
-             "weather_description"]
-    unique = dedup_latest(kept, WEATHER_KEYS, order)
+    unique = dedup_latest(kept, WEATHER_KEYS, _newest(kept))
     return stamp(unique, processing_timestamp=processed_at if processed_at is not None else "now")
 
 
@@ -106,8 +115,10 @@ def stock_silver(bronze: DataFrame, processed_at: Column | None = None) -> tuple
         F.col("`Time Series (Daily)`").alias("series"),
     )
     docs = dedup_latest(docs, ["stock_symbol", "last_refreshed"], ["ingestion_timestamp desc", "metadata_symbol"])
-    bars = explode_series(docs, "series", ["stock_symbol"], "trade_date", "date", STOCK_BAR_FIELDS)
-    bars = dedup_latest(bars, ["stock_symbol", "trade_date"], ["close desc", "volume desc"])
+    age = ["last_refreshed", "ingestion_timestamp"]  # the newest document's bar wins; its values only break ties
+    bars = explode_series(docs, "series", ["stock_symbol", *age], "trade_date", "date", STOCK_BAR_FIELDS)
+    values = [alias for _, _, alias in STOCK_BAR_FIELDS]
+    bars = dedup_latest(bars, ["stock_symbol", "trade_date"], [*(f"{c} desc" for c in [*age, *values])]).drop(*age)
     return docs.drop("series").withColumn("processing_timestamp", now), bars, rejected
 
 
@@ -118,37 +129,80 @@ class LayerResult:
     gold_rows: dict[str, int]
 
 
+def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The table at ``path``, or None where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _merged(spark: SparkSession, path: str, new: DataFrame, name: str) -> DataFrame:
+    """``new`` merged with the stored rows of the dates it touches, written to the
+    shared scratch folder: per reading the newest ingestion stays, so an older
+    or repeated run changes nothing. The date follows from the reading's key, so
+    no reading can be left behind in another partition. Only the touched stretch
+    of dates is read (a pushed partition filter)."""
+    ends = new.agg(F.min(SILVER_PARTITION).alias("lo"), F.max(SILVER_PARTITION).alias("hi"),
+                   F.count_if(F.col(SILVER_PARTITION).isNull()).alias("undated")).first()
+    stored = _stored(spark, path, new.schema)
+    both = new
+    if stored is not None:
+        dated = F.col(SILVER_PARTITION)
+        touched = F.lit(False) if ends["lo"] is None else dated.between(F.lit(ends["lo"]), F.lit(ends["hi"]))
+        if ends["undated"]:
+            touched = touched | dated.isNull()
+        days = new.select(dated.alias("_day")).distinct()
+        near = stored.where(touched).join(days, F.col(SILVER_PARTITION).eqNullSafe(F.col("_day")), "left_semi")
+        both = near.unionByName(new)
+    out = scratch_path(spark, name)
+    dedup_latest(both, WEATHER_KEYS, _newest(both)).write.parquet(out)
+    return spark.read.schema(new.schema).parquet(out)
+
+
 def build_layers(spark: SparkSession, bronze_root: str, silver_path: str, gold_root: str,
                  day: dt.date | None = None, processed_at: Column | None = None,
-                 quarantine_path: str | None = None, salt_buckets: int | None = 8) -> LayerResult:
+                 quarantine_path: str | None = None, multiline: bool = False) -> LayerResult:
     """Run the weather warehouse for one landed day (all days if None).
 
-    bronze (partition-pruned read) -> silver (range rules split valid rows
-    from quarantine; valid rows written with dynamic partition overwrite by
-    country) -> gate (null-rate thresholds) -> three gold tables.
+    bronze (partition-pruned read; ``multiline`` for files of one indented
+    document or array each) -> rows routed by the range rules and staged once
+    -> valid rows merged into silver by measurement date, the others into
+    quarantine (``quarantine_path``, by default beside silver) -> gates
+    (null rates of the merged silver dates, duplicates and null keys of gold)
+    -> published. Nothing is overwritten before its gate has passed, and a rerun
+    of any day leaves every table as it is.
     """
-    bronze = read_partitions(spark, bronze_root, "json", WEATHER_BRONZE, day=day, multiLine="true") \
-        if day is not None else read_bronze(spark, bronze_root, "json", WEATHER_BRONZE)
-    tagged = route(weather_silver(bronze, processed_at), ranges=VALUE_RANGES)
-    quarantined = 0
-    if quarantine_path:
-        # Both outputs come from one bronze scan: the routed rows are
-        # materialised once (reliable checkpoint in the shared folder).
-        tagged = tagged.checkpoint(eager=True)
-        bad = tagged.where(F.col("dq_status") == "quarantine").drop("dq_status")
-        quarantined = write_layer(bad.withColumn("dq_reasons", F.array_join("dq_reasons", "; ")),
-                                  quarantine_path, mode="append")
-    valid = tagged.where(F.col("dq_status") == "valid").drop("dq_status", "dq_reasons")
-    silver_rows = write_layer(valid, silver_path, ["country_code"], salt_buckets=salt_buckets)
-    stored = spark.read.parquet(silver_path)
-    gate(null_threshold_check(spark, null_rates(stored), NULL_THRESHOLDS, "silver"), label="silver null rates")
-    gold = {
-        "aggregated_weather_metrics": weather_metrics(stored),
-        "weather_trends": weather_trends(stored),
-        "dim_city": city_dimension(stored),
-    }
+    lines = {"multiLine": "true"} if multiline else {}
+    bronze = read_partitions(spark, bronze_root, "json", WEATHER_BRONZE, day=day, **lines) \
+        if day is not None else read_bronze(spark, bronze_root, "json", WEATHER_BRONZE, **lines)
+    dated = weather_silver(bronze, processed_at).withColumn(
+        SILVER_PARTITION, F.to_date(F.timestamp_seconds("measurement_timestamp")))
+    staged = scratch_path(spark, "routed")
+    routed = route(dated, ranges=VALUE_RANGES)
+    routed.write.partitionBy("dq_status").parquet(staged)
+    routed = spark.read.schema(routed.schema).parquet(staged)
+    good = routed.where(F.col("dq_status") == "valid").select(*dated.columns)
+    bad = routed.where(F.col("dq_status") == "quarantine").select(*dated.columns, F.array_join("dq_reasons", "; ").alias("dq_reasons"))
+    quarantine_path = quarantine_path or silver_path.rstrip("/") + "_quarantine"
+    write_layer(_merged(spark, quarantine_path, bad, "quarantine"), quarantine_path, [SILVER_PARTITION], cluster=True)
+    silver = _merged(spark, silver_path, good, "silver")
+    gate(null_threshold_check(spark, null_rates(silver), NULL_THRESHOLDS, "silver"), label="silver null rates")
+    write_layer(silver, silver_path, [SILVER_PARTITION], cluster=True)
+    stored = spark.read.schema(silver.schema).parquet(silver_path)
+    keys = {"aggregated_weather_metrics": ["city_name", "country_code"], "weather_trends": ["city_name"], "dim_city": ["city_id"]}
+    gold = {}
+    for name, df in {"aggregated_weather_metrics": weather_metrics(stored), "weather_trends": weather_trends(stored),
+                     "dim_city": city_dimension(stored)}.items():
+        path = scratch_path(spark, f"gold-{name}")
+        df.write.parquet(path)
+        gold[name] = spark.read.schema(df.schema).parquet(path)
+        twins = gold[name].groupBy(*keys[name]).agg(F.count(F.lit(1)).alias("rows")).withColumn("passed", F.col("rows") == 1)
+        gate(twins, label=f"gold {name} duplicates")
     counts = {name: write_layer(df, f"{gold_root}/{name}") for name, df in gold.items()}
-    return LayerResult(silver_rows, quarantined, counts)
+    return LayerResult(good.count(), bad.count(), counts)
 
 
 def read_stock_bronze(spark: SparkSession, path: str) -> DataFrame:

@@ -29,7 +29,7 @@ def _chunk_id(chunk_rows: int):
 
 def write_layer(df: DataFrame, path: str, partitions: Sequence[str] | None = None, mode: str = "overwrite",
                 fmt: str = "parquet", compression: str = "snappy", dynamic: bool = True,
-                max_records_per_file: int | None = 5_000_000, salt_buckets: int | None = None) -> int:
+                max_records_per_file: int | None = 5_000_000, cluster: bool = False) -> int:
     """Write a layer and return the number of rows written.
 
     With partitions and ``dynamic=True`` an overwrite replaces only the
@@ -39,15 +39,12 @@ def write_layer(df: DataFrame, path: str, partitions: Sequence[str] | None = Non
     partition folders (no shuffle by partition value, so a hot partition is
     spread over all tasks); ``max_records_per_file`` bounds file sizes.
 
-    ``salt_buckets=k`` first clusters rows by (partition values, hash of the
-    row mod k): each partition value is written by at most k tasks, so the
-    file count is (values x k) instead of (tasks x values), and a hot value
-    is still spread over k writers. The salt is a hash of the row, not a
-    random number, so a retried task routes every row the same way.
+    ``cluster=True`` first brings the rows of a partition value together by a
+    rebalance, which AQE splits by size: small values are written by one task,
+    a hot one by as many as its bytes ask for.
     """
-    if partitions and salt_buckets:
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salt_buckets))
-        df = df.repartition(*[F.col(f"`{c}`") for c in partitions], salt)
+    if partitions and cluster:
+        df = df.hint("rebalance", *[F.col(f"`{c}`") for c in partitions])
     obs = Observation("strata_write")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode).format(fmt)

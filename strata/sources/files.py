@@ -22,19 +22,37 @@ def read_bronze(spark: SparkSession, path: str | Sequence[str], fmt: str = "json
                 schema: T.StructType | None = None, **options) -> DataFrame:
     """Read a bronze location as json / csv / parquet; anything else raises.
 
-    JSON defaults to ``multiLine`` so one file may hold an indented array or
-    a single object; CSV defaults to a header row. Without a schema the
-    reader infers one, which costs an extra pass over the data.
+    JSON defaults to JSON lines (one document or one array of documents per
+    line; splittable). ``multiLine="true"`` reads files that hold one
+    indented document or array each; Spark then takes the first document of
+    a file only, so a file with a second one fails the read instead of losing
+    rows. CSV defaults to a header row, and a header that does not match the
+    schema fails. Without a schema the reader infers one (an extra pass).
     """
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format {fmt!r}; expected one of {FORMATS}")
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    defaults = {"json": {"multiLine": "true", "timestampNTZFormat": TS_FORMAT},
-                "csv": {"header": "true", "timestampNTZFormat": TS_FORMAT}}.get(fmt, {})
-    reader = reader.options(**{**defaults, **options})
-    return reader.load(path)
+    defaults = {"json": {"multiLine": "false", "timestampNTZFormat": TS_FORMAT},
+                "csv": {"header": "true", "enforceSchema": "false", "timestampNTZFormat": TS_FORMAT}}.get(fmt, {})
+    options = {**defaults, **options}
+    if fmt == "json" and str(options["multiLine"]).lower() == "true":
+        _require_single_documents(spark, path)
+    return reader.options(**options).load(path)
+
+
+# One document ends and the next begins on a later line without a comma; a
+# line break cannot stand inside a JSON string, so this is never within one.
+_NEXT_DOCUMENT = r"[}\]][ \t\r]*\n\s*[{\[]"
+
+
+def _require_single_documents(spark: SparkSession, path: str | Sequence[str]) -> None:
+    paths = [path] if isinstance(path, str) else list(path)
+    whole = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True)
+    several = whole.where(F.col("value").rlike(_NEXT_DOCUMENT)).select(F.input_file_name().alias("file")).limit(1).collect()
+    if several:
+        raise ValueError(f"{several[0]['file']} holds several JSON documents: read it as JSON lines (multiLine=false)")
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:

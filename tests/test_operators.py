@@ -195,3 +195,10 @@ def test_check_schema(spark):
     assert res["missing_columns"] == ["c"] and res["extra_columns"] == []
     assert res["type_mismatches"] == [{"column": "a", "expected": "bigint", "actual": "int"}]
     assert check_schema(df, {"a": "int"})["schema_valid"] is True
+
+
+def test_exact_avg_keeps_digits_nan_and_large_values(spark):
+    rows = [("a", 1.006), ("a", 1.006), ("a", 1.001), ("b", float("nan")), ("b", 1.0), ("c", 1e17), ("c", 3e17), ("d", None)]
+    df = spark.createDataFrame(rows, "k string, v double").groupBy("k").agg(exact_avg("v").alias("m"))
+    out = {r["k"]: r["m"] for r in df.collect()}
+    assert abs(out["a"] - 3.013 / 3) < 1e-12 and out["b"] != out["b"] and out["c"] == 2e17 and out["d"] is None

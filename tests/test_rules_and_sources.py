@@ -111,8 +111,14 @@ def test_read_bronze_json_shapes(spark, tmp):
     os.makedirs(single)
     with open(os.path.join(single, "x.json"), "w") as fh:
         fh.write(json.dumps(doc, indent=2))
-    for path, n in [(one_line, 2), (indented, 2), (single, 1)]:
-        df = read_bronze(spark, path, "json", WEATHER_BRONZE)
+    lines = os.path.join(tmp, "d")
+    os.makedirs(lines)
+    with open(os.path.join(lines, "x.json"), "w") as fh:
+        fh.write("\n".join(json.dumps({**doc, "id": i}) for i in (1, 2, 3)))
+    with pytest.raises(ValueError, match="several JSON documents"):
+        read_bronze(spark, lines, "json", WEATHER_BRONZE, multiLine="true")
+    for path, n, multi in [(one_line, 2, "false"), (one_line, 2, "true"), (indented, 2, "true"), (single, 1, "true"), (lines, 3, "false")]:
+        df = read_bronze(spark, path, "json", WEATHER_BRONZE, multiLine=multi)
         rows = df.collect()
         assert len(rows) == n
         assert rows[0].coord.lon == 10.0  # whole-number longitude stays double with the explicit schema
@@ -191,13 +197,17 @@ def test_shuffle_sizing():
     assert int(shuffle_sizing(100 << 40, 8000)["spark.sql.shuffle.partitions"]) == 409600
 
 
-def test_salted_partitioned_write_bounds_writers(spark, tmp):
-    path = os.path.join(tmp, "salted")
+def test_clustered_write_splits_a_hot_value_by_size(spark, tmp):
+    path = os.path.join(tmp, "clustered")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
     df = spark.range(0, 3000).repartition(12).select(
         F.col("id"), F.when(F.col("id") < 2000, F.lit("HOT")).otherwise(F.lit("COLD")).alias("country_code"))
-    assert write_layer(df, path, ["country_code"], salt_buckets=3) == 3000
-    hot_files = [f for f in os.listdir(os.path.join(path, "country_code=HOT")) if f.endswith(".parquet")]
-    assert 1 <= len(hot_files) <= 3  # at most salt_buckets writers for the hot value
+    try:
+        assert write_layer(df, path, ["country_code"], cluster=True) == 3000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = lambda v: len([f for f in os.listdir(os.path.join(path, f"country_code={v}")) if f.endswith(".parquet")])
+    assert files("HOT") > 1 and files("COLD") < 12  # writers by size, not one per task
     assert spark.read.parquet(path).count() == 3000
 
 

@@ -62,7 +62,7 @@ def write_fixture(tmp, null_country=True):
 
 def test_weather_silver_rules(spark, tmp):
     root = write_fixture(tmp)
-    bronze = read_bronze(spark, root, "json", WEATHER_BRONZE)
+    bronze = read_bronze(spark, root, "json", WEATHER_BRONZE, multiLine="true")
     silver = weather_silver(bronze, F.lit("2024-01-02 00:00:00").cast("timestamp"))
     rows = {(r.city_id, r.measurement_timestamp): r for r in silver.collect()}
     assert (1, T0 + 3600) in rows and rows[(1, T0 + 3600)].temperature_celsius == 9.0
@@ -77,7 +77,7 @@ def test_weather_silver_rules(spark, tmp):
 
 def test_gold_tables(spark, tmp):
     root = write_fixture(tmp)
-    silver = weather_silver(read_bronze(spark, root, "json", WEATHER_BRONZE),
+    silver = weather_silver(read_bronze(spark, root, "json", WEATHER_BRONZE, multiLine="true"),
                             F.lit("2024-01-02 00:00:00").cast("timestamp"))
     metrics = {(r.city_name, r.country_code): r for r in weather_metrics(silver).collect()}
     oslo = metrics[("Oslo", "NO")]
@@ -96,7 +96,8 @@ def test_gate_stops_on_null_country_rate(spark, tmp):
     root = write_fixture(tmp)
     with pytest.raises(QualityGateError, match="country_code"):  # 1 of 9 rows = 11.11 % > 5 %
         build_layers(spark, root, os.path.join(tmp, "silver"), os.path.join(tmp, "gold"),
-                     day=dt.date(2024, 1, 1), processed_at=F.lit("2024-01-02 00:00:00").cast("timestamp"))
+                     day=dt.date(2024, 1, 1), processed_at=F.lit("2024-01-02 00:00:00").cast("timestamp"), multiline=True)
+    assert not os.path.exists(os.path.join(tmp, "silver"))  # nothing is published before the gate
 
 
 def test_build_layers_with_quarantine_and_gate(spark, tmp):
@@ -104,9 +105,61 @@ def test_build_layers_with_quarantine_and_gate(spark, tmp):
     res = build_layers(spark, root.rsplit("/weather", 1)[0] + "/weather", os.path.join(tmp, "silver"),
                        os.path.join(tmp, "gold"), day=dt.date(2024, 1, 1),
                        processed_at=F.lit("2024-01-02 00:00:00").cast("timestamp"),
-                       quarantine_path=os.path.join(tmp, "quarantine"))
+                       quarantine_path=os.path.join(tmp, "quarantine"), multiline=True)
     assert res.quarantined_rows == 1  # Kyiv at 65 degrees
     assert res.silver_rows == 8
     assert res.gold_rows["dim_city"] == 7  # 8 readings, Oslo (id 1) twice
     gold = spark.read.parquet(os.path.join(tmp, "gold", "aggregated_weather_metrics"))
     assert gold.where("city_name = 'Oslo'").count() == 2  # NO and SE
+
+
+def land(tmp, day, docs):
+    root = os.path.join(tmp, "bronze", "weather")
+    folder = os.path.join(root, "year=2024", "month=01", f"day={day:02d}")
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, "part.json"), "w") as fh:
+        fh.writelines(json.dumps(d) + "\n" for d in docs)
+    return root
+
+
+def test_days_add_up_and_reruns_change_nothing(spark, tmp):
+    """JSON lines over three days: silver, gold and quarantine equal one run over all days."""
+    day = 86400
+    land(tmp, 1, [doc(1, "Oslo", "NO", 5.0, T0), doc(2, "Bergen", "NO", 7.123456, T0), doc(3, "Paris", "FR", 9.0, T0),
+                  doc(4, "Kyiv", "UA", 65.0, T0)])
+    land(tmp, 2, [doc(1, "Oslo", "NO", 6.0, T0 + day, ingested="2024-01-02T01:00:00"),
+                  doc(3, "Paris", "FR", 8.0, T0, ingested="2024-01-02T01:00:00")])  # late correction of day 1
+    root = land(tmp, 3, [doc(1, "Oslo", "NO", 70.0, T0 + 2 * day, ingested="2024-01-03T01:00:00")])
+    at = F.lit("2024-02-01 00:00:00").cast("timestamp")
+
+    def tables(name):
+        read = lambda p: sorted(map(str, (r.asDict() for r in spark.read.parquet(os.path.join(tmp, name, p)).drop("dim_city_key").collect())))
+        return {p: read(p) for p in ("silver", "silver_quarantine", "gold/aggregated_weather_metrics", "gold/weather_trends", "gold/dim_city")}
+
+    run = lambda name, d=None: build_layers(spark, root, os.path.join(tmp, name, "silver"), os.path.join(tmp, name, "gold"), day=d, processed_at=at)
+    first = run("daily", dt.date(2024, 1, 1))
+    assert (first.silver_rows, first.quarantined_rows) == (3, 1)
+    run("daily", dt.date(2024, 1, 2))
+    run("daily", dt.date(2024, 1, 3))
+    daily = tables("daily")
+    assert len(daily["silver"]) == 4 and len(daily["silver_quarantine"]) == 2
+    run("daily", dt.date(2024, 1, 1))
+    run("daily", dt.date(2024, 1, 3))
+    assert tables("daily") == daily
+    run("whole")
+    assert tables("whole") == daily
+
+
+def test_newest_stock_document_wins(spark):
+    from strata.plans.warehouse import stock_silver
+    from strata.schemas import STOCK_BRONZE
+    from strata.schemas import STOCK_META_REFRESHED as REFRESHED
+    from strata.schemas import STOCK_META_SYMBOL as SYMBOL
+
+    bar = lambda close: {"1. open": "1", "2. high": "2", "3. low": "1", "4. close": close, "5. volume": "10"}
+    docs = [{"symbol": "A", "Meta Data": {SYMBOL: "A", REFRESHED: f"2024-01-0{n}"}, "ingestion_timestamp": f"2024-01-0{n}T05:00:00",
+             "Time Series (Daily)": {"2024-01-01": bar(close)}} for n, close in ((1, "11.0"), (2, "10.0"))]
+    lines = spark.createDataFrame([(json.dumps(d),) for d in docs], "value string")
+    bronze = lines.select(F.from_json("value", STOCK_BRONZE).alias("d")).select("d.*")
+    bars = stock_silver(bronze)[1].collect()
+    assert [b["close"] for b in bars] == [10.0]
