@@ -11,8 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.sources.files import TS_FORMAT
+from strata.sources.files import LANDED_CSV, TS_FORMAT, escape_breaks
 
 _LOCAL_BITS = (1 << 33) - 1
 
@@ -55,7 +56,7 @@ def write_layer(df: DataFrame, path: str, partitions: Sequence[str] | None = Non
     if fmt in ("json", "csv"):
         writer = writer.option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT + "XXX")
         if fmt == "csv":
-            writer = writer.option("header", "true")
+            writer = writer.options(header="true", **LANDED_CSV)
     if partitions:
         writer = writer.partitionBy(*partitions)
         if dynamic:
@@ -70,15 +71,19 @@ def date_parts(ts: Column) -> dict[str, Column]:
 
 
 def write_landing(df: DataFrame, root: str, ts_col: str, fmt: str = "json", mode: str = "append") -> int:
-    """Land rows under ``root/year=YYYY/month=MM/day=DD/`` by ``ts_col``."""
+    """Land rows under ``root/year=YYYY/month=MM/day=DD/`` by ``ts_col``; the days
+    are clustered, so a day's files are as many as its size asks for."""
     return write_layer(df.withColumns(date_parts(F.col(ts_col))), root, ["year", "month", "day"],
-                       mode=mode, fmt=fmt)
+                       mode=mode, fmt=fmt, cluster=True)
 
 
 def land_csv(df: DataFrame, root: str, source: str, original_filename: str, ingestion_date: Column,
              ts_col: str) -> int:
-    """Raw CSV landing with file provenance columns, partitioned by date."""
-    tagged = df.withColumns({
+    """Raw CSV landing with file provenance columns, partitioned by date. Line
+    breaks inside texts are escaped, so files stay one row a line (splittable);
+    ``read_landed_csv`` gives the rows back as they were."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    tagged = df.withColumns({**{c: escape_breaks(F.col(f"`{c}`")) for c in texts},
         "source": F.lit(source), "original_filename": F.lit(original_filename),
         "ingestion_date": ingestion_date,
     })

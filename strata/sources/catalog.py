@@ -27,14 +27,15 @@ def create_namespace(spark: SparkSession, name: str, use: bool = True, location:
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
                    replace: bool = True) -> DataFrame:
-    """External table over files already written at ``path``; the schema and
-    partition columns are discovered from the files."""
+    """External table over files already written at ``path``; the schema,
+    partition columns and partitions are discovered from the files."""
     if fmt not in ("parquet", "json", "csv"):
         raise ValueError(f"unsupported format {fmt!r}")
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {_ident(name)}")
     quoted = path.replace("'", "\\'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_ident(name)} USING {fmt} LOCATION '{quoted}'")
+    repair(spark, name)
     return spark.table(name)
 
 
@@ -47,13 +48,6 @@ def repair(spark: SparkSession, name: str) -> bool:
     return True
 
 
-def create_view(spark: SparkSession, name: str, select_sql: str) -> DataFrame:
-    """``CREATE OR REPLACE TEMP VIEW name AS select`` (expanded by the analyzer
-    into the plans that use it)."""
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {_ident(name)} AS {select_sql}")
-    return spark.table(name)
-
-
 def register_product_views(spark: SparkSession, metrics: DataFrame, trends: DataFrame | None = None,
                            dim: DataFrame | None = None, dim_attrs=("latitude", "longitude"),
                            extra_metrics=("avg_pressure",)) -> list[str]:

@@ -6,7 +6,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,18 +63,72 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, **opti
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, corrupt_col: str = "_corrupt_record",
-             null_values: Sequence[str] = ("", "NA"), **options) -> DataFrame:
-    """CSV with a header; malformed lines are kept with their raw text in
-    ``corrupt_col`` (PERMISSIVE) instead of failing the read."""
-    full = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
-    df = read_bronze(spark, path, "csv", full, mode="PERMISSIVE",
-                     columnNameOfCorruptRecord=corrupt_col, **options)
-    out = df
-    for token in null_values:
-        if token:
-            out = out.replace(token, None, subset=[f.name for f in schema.fields
-                                                   if isinstance(f.dataType, T.StringType)])
-    return out
+             null_values: Sequence[str] = ("", "NA"), required: Sequence[str] | None = None, **options) -> DataFrame:
+    """CSV with a header, bound to ``schema`` by column name.
+
+    The order of the file's columns does not matter, other columns are left
+    out, and a column the file lacks is NULL; a missing one of ``required``
+    (by default the schema's non-nullable fields) raises. All files of one read
+    share a header, else the read fails. Lines of another width, and lines
+    with a value that is not of its column's type, keep their raw text in
+    ``corrupt_col`` instead of failing the read; such a value is NULL.
+    """
+    header = spark.read.options(header="true", **options).csv(path).columns
+    required = [f.name for f in schema.fields if not f.nullable] if required is None else required
+    missing = [c for c in required if c not in header]
+    if missing:
+        raise ValueError(f"{path} lacks the required columns {missing}")
+    raw = T.StructType([*[T.StructField(c, T.StringType()) for c in header], T.StructField(corrupt_col, T.StringType())])
+    df = read_bronze(spark, path, "csv", raw, mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt_col, **options)
+    text = {c: F.when(F.col(f"`{c}`").isin(*null_values), None).otherwise(F.col(f"`{c}`")) for c in header}
+    typed, bad = [], [F.lit(False)]
+    for f in schema.fields:
+        if f.name not in text:
+            typed.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        fmt = options.get("timestampFormat")
+        value = F.try_to_timestamp(text[f.name], F.lit(fmt)) if fmt and isinstance(f.dataType, T.TimestampType) \
+            else text[f.name].try_cast(f.dataType)
+        typed.append(value.alias(f.name))
+        bad.append(text[f.name].isNotNull() & value.isNull())
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in header]))
+    corrupt = F.coalesce(F.col(corrupt_col), F.when(reduce(Column.__or__, bad), line))
+    return df.select(*typed, corrupt.alias(corrupt_col))
+
+
+# Options of CSV written by ``land_csv``: quotes are doubled, backslashes are plain.
+LANDED_CSV = {"escape": '"', "nullValue": "\\N", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def escape_breaks(text: Column) -> Column:
+    """Text on one line: backslashes and line breaks become backslash pairs."""
+    for plain, pair in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(pair))
+    return text
+
+
+def unescape_breaks(text: Column) -> Column:
+    """The inverse of ``escape_breaks``: between escaped backslashes, a
+    backslash only ever starts a line break's pair."""
+    part = lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    return F.array_join(F.transform(F.split(text, r"\\\\"), part), "\\")
+
+
+def read_landed_csv(spark: SparkSession, root: str, schema: T.StructType, day: dt.date | None = None) -> DataFrame:
+    """Rows landed by ``land_csv`` as they were written: line breaks, empty texts and NULLs included."""
+    df = read_partitions(spark, root, "csv", schema, day, **LANDED_CSV)
+    return df.withColumns({f.name: unescape_breaks(F.col(f"`{f.name}`")) for f in schema.fields
+                           if isinstance(f.dataType, T.StringType)})
+
+
+def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The Parquet table at ``path``, or None where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def partition_filter(day: dt.date | None = None, year: int | None = None, month: int | None = None) -> Column:

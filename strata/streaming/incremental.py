@@ -12,13 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.clean import dedup_latest
 from strata.sinks.files import write_layer
+from strata.sources.files import stored_table
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -43,6 +43,15 @@ def run_available(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str =
         raise query.exception()
 
 
+def run_batches(stream: DataFrame, step, checkpoint: str) -> None:
+    """Hand everything available now to ``step(batch, batch_id)``, then stop (blocking)."""
+    query = (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def stream_land(spark: SparkSession, source: str, schema: T.StructType, sink_path: str, checkpoint: str,
                 fmt: str = "parquet", sink_fmt: str = "parquet",
                 partitions: Sequence[str] | None = None, **options) -> None:
@@ -59,24 +68,81 @@ def stream_dedup(spark: SparkSession, source: str, schema: T.StructType, keys: S
     passes the key's first event time, so state is bounded by the delay,
     not by the history. Repeats arriving later than that are left to the
     batch dedup of the silver build.
+
+    The watermark also keeps out a key seen for the first time later than
+    ``delay``. Such rows are not lost: a second pass over the same new
+    files writes one row of each key that neither the sink nor an earlier pass
+    holds to ``late_path(sink_path)``. Read both with ``read_deduped``.
     """
     stream = read_stream(spark, source, schema, fmt, **options)
     deduped = stream.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(keys))
     run_available(deduped, sink_path, checkpoint)
 
+    def keep_late(batch: DataFrame, batch_id: int) -> None:
+        late = _without_keys(batch, spark.read.schema(schema).parquet(sink_path), keys)
+        landed = _table(spark, late_path(sink_path), schema)
+        if landed is not None:
+            # Rows of this very batch, left by a run that was cut short, are written anew.
+            late = _without_keys(late, landed.where(F.col(_BATCH) != batch_id), keys)
+        late = dedup_latest(late, list(keys), [ts_col, *[c for c in late.columns if c != ts_col]])
+        write_layer(late.withColumn(_BATCH, F.lit(batch_id).cast("long")), late_path(sink_path), [_BATCH])
+
+    run_batches(read_stream(spark, source, schema, fmt, **options), keep_late, checkpoint.rstrip("/") + "_late")
+
+
+_BATCH = "late_batch"
+
+
+def late_path(sink_path: str) -> str:
+    return sink_path.rstrip("/") + "_late"
+
+
+def read_deduped(spark: SparkSession, sink_path: str, schema: T.StructType) -> DataFrame:
+    """All rows that ``stream_dedup`` kept: those in time and the late first ones."""
+    kept = spark.read.schema(schema).parquet(sink_path)
+    late = _table(spark, late_path(sink_path), schema)
+    return kept if late is None else kept.unionByName(late.drop(_BATCH))
+
+
+def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The late rows at ``path`` with their batch, or None where there is no such table."""
+    return stored_table(spark, path, T.StructType([*schema.fields, T.StructField(_BATCH, T.LongType())]))
+
+
+def _without_keys(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key (NULL members compare equal) is not in ``known``."""
+    seen = known.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return rows.join(seen, same, "left_anti")
+
+
+def touched_rows(batch: DataFrame, target: DataFrame, partition_col: str) -> DataFrame:
+    """Rows of ``target`` in the partitions that ``batch`` touches. The batch's
+    least and greatest value become literal partition filters, so the scan lists
+    that stretch only; the semi join then leaves out the untouched ones between."""
+    part = F.col(partition_col)
+    ends = batch.agg(F.min(part).alias("lo"), F.max(part).alias("hi"), F.count_if(part.isNull()).alias("nulls")).first()
+    near = F.lit(False) if ends["lo"] is None else part.between(F.lit(ends["lo"]), F.lit(ends["hi"]))
+    if ends["nulls"]:
+        near = near | part.isNull()
+    touched = batch.select(part.alias("__touched")).distinct()
+    return target.where(near).join(touched, part.eqNullSafe(F.col("__touched")), "left_semi")
+
 
 def merge_into_partitions(batch: DataFrame, target: str, keys: Sequence[str], order: Sequence[str],
-                          partition_col: str, target_exists: bool) -> int:
+                          partition_col: str) -> int:
     """Merge one batch into a partitioned Parquet table: rows of the touched
     partitions are combined with the batch, deduplicated on ``keys`` (first
     under ``order``), and only those partitions are overwritten. Replaying a
-    batch gives the same table (idempotent)."""
+    batch gives the same table (idempotent).
+
+    ``keys`` must hold ``partition_col``: a key that moved to another
+    partition would leave its old row behind."""
+    if partition_col not in keys:
+        raise ValueError(f"the keys {list(keys)} must hold the partition column {partition_col!r}")
     spark = batch.sparkSession
-    combined = batch
-    if target_exists:
-        touched = batch.select(partition_col).distinct()
-        current = spark.read.parquet(target).join(touched, partition_col, "left_semi")
-        combined = current.unionByName(batch.select(*current.columns))
+    current = stored_table(spark, target, batch.schema)
+    combined = batch if current is None else touched_rows(batch, current, partition_col).unionByName(batch)
     # Materialise the merged partitions (reliable checkpoint) so the
     # overwrite does not read the files it replaces.
     merged = dedup_latest(combined, keys, order).checkpoint(eager=True)
@@ -87,30 +153,13 @@ def stream_merge(spark: SparkSession, source: str, schema: T.StructType, keys: S
                  order: Sequence[str], partition_col: str, partition_expr, target: str, checkpoint: str,
                  fmt: str = "parquet", **options) -> None:
     """Upsert new source rows into ``target`` without losing older
-    partitions (S3): ``foreachBatch`` + dynamic partition overwrite."""
+    partitions (S3): ``foreachBatch`` + dynamic partition overwrite. ``keys``
+    must hold ``partition_col``."""
+    if partition_col not in keys:
+        raise ValueError(f"the keys {list(keys)} must hold the partition column {partition_col!r}")
     stream = read_stream(spark, source, schema, fmt, **options).withColumn(partition_col, partition_expr)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        exists = _exists(spark, target)
-        merge_into_partitions(batch, target, keys, order, partition_col, exists)
-
-    query = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a readable table exists at ``path`` (schema lookup only)."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
-
+        merge_into_partitions(batch, target, keys, order, partition_col)
 
-def partition_col_expr(ts_col: str):
-    return F.to_date(F.col(ts_col))
+    run_batches(stream, merge, checkpoint)
