@@ -37,17 +37,6 @@ def group_profile(
     return grouped.withColumns({c: F.round(F.col(c), digits).cast("double") for c in targets})
 
 
-def mean_of_means(df: DataFrame, keys: Sequence[str], value: str, distinct_of: str | None = None,
-                  digits: int = 2, value_alias: str = "avg_value",
-                  distinct_alias: str = "distinct_count") -> DataFrame:
-    """Unweighted average of per-group averages (aggregate of an aggregate)
-    plus an optional COUNT(DISTINCT) per group."""
-    aggs = {value_alias: F.round(F.avg(value), digits)}
-    if distinct_of:
-        aggs[distinct_alias] = F.count_distinct(F.col(distinct_of))
-    return group_profile(df, keys, aggs)
-
-
 def decomposed_avg(sum_col: str, count_col: str) -> Column:
     """Average rebuilt from pre-aggregated sums and counts (exact regrouping)."""
     return F.sum(sum_col) / F.sum(count_col)

@@ -46,8 +46,3 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: in
     w = Window.partitionBy(*keys).orderBy(*order_spec(order))
     rn = "__strata_rn"
     return df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= n).drop(rn)
-
-
-def dedup_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep one arbitrary row per key (cheapest form when only keys matter)."""
-    return df.dropDuplicates(list(keys))

@@ -21,8 +21,3 @@ def top_k(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:
     if k <= 0:
         raise ValueError("k must be positive")
     return df.orderBy(*order_spec(order)).limit(k)
-
-
-def sample_rows(df: DataFrame, n: int) -> DataFrame:
-    """``LIMIT n`` without order: any n rows (a preview / sample)."""
-    return df.limit(n)

@@ -9,10 +9,10 @@ aggregation, so the cost is a single scan regardless of column count.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.functions.columns import pct
 from strata.schemas import PROFILED_TYPES
@@ -135,22 +135,32 @@ def profile(df: DataFrame, dataset: str, keys: Sequence[str] | None = None,
     return one.select(F.lit(dataset).alias("dataset"), F.inline(F.array(*rows)))
 
 
-def check_schema(df: DataFrame, expected: Mapping[str, str]) -> dict:
-    """Compare column types with ``expected`` ({name: simpleString}); extra
-    columns are allowed. Reads only the schema - no Spark job."""
+class SchemaFinding(NamedTuple):
+    """One column of a table or of its expected schema; status ok / missing / extra / mismatch."""
+
+    column_name: str
+    expected: str | None
+    actual: str | None
+    status: str
+
+
+def check_schema(df: DataFrame, expected: Mapping[str, str]) -> list[SchemaFinding]:
+    """Every column, by name, held against ``expected`` ({name: simpleString}).
+    Reads only the schema - no Spark job."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    missing = sorted(set(expected) - set(actual))
-    extra = sorted(set(actual) - set(expected))
-    mismatches = [
-        {"column": c, "expected": t, "actual": actual[c]}
-        for c, t in expected.items() if c in actual and actual[c] != t
-    ]
-    return {
-        "schema_valid": not missing and not mismatches,
-        "missing_columns": missing,
-        "extra_columns": extra,
-        "type_mismatches": mismatches,
-    }
+
+    def status(want: str | None, have: str | None) -> str:
+        if want is None:
+            return "extra"
+        return "missing" if have is None else "ok" if have == want else "mismatch"
+
+    return [SchemaFinding(c, expected.get(c), actual.get(c), status(expected.get(c), actual.get(c)))
+            for c in sorted({*expected, *actual})]
+
+
+def schema_holds(findings: Sequence[SchemaFinding]) -> bool:
+    """Whether every expected column is there with its type (extra ones are allowed)."""
+    return all(f.status in ("ok", "extra") for f in findings)
 
 
 def missing_required(df: DataFrame, required: Sequence[str]) -> list[str]:
@@ -160,20 +170,6 @@ def missing_required(df: DataFrame, required: Sequence[str]) -> list[str]:
     return [c for c in required if c not in present]
 
 
-SCHEMA_REPORT = T.StructType([
-    T.StructField("column_name", T.StringType()),
-    T.StructField("expected", T.StringType()),
-    T.StructField("actual", T.StringType()),
-    T.StructField("status", T.StringType()),
-])
-
-
 def schema_report(spark: SparkSession, df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
-    """``check_schema`` as rows: one per column, status ok/missing/extra/mismatch."""
-    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rows = []
-    for c in sorted(set(expected) | set(actual)):
-        e, a = expected.get(c), actual.get(c)
-        status = "missing" if a is None else "extra" if e is None else "ok" if a == e else "mismatch"
-        rows.append((c, e, a, status))
-    return spark.createDataFrame(rows, SCHEMA_REPORT)
+    """``check_schema`` as rows (for the report files)."""
+    return spark.createDataFrame(check_schema(df, expected), "column_name string, expected string, actual string, status string")

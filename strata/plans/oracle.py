@@ -12,7 +12,7 @@ which is Spark's rule.
 from __future__ import annotations
 
 RUN_TS = "TIMESTAMP '2024-02-01 00:00:00'"
-AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
+AS_OF = "TIMESTAMP '2024-02-03 07:30:00'"
 
 
 def r(expr: str, digits: int = 2) -> str:
@@ -50,8 +50,8 @@ def _gold(daily: bool) -> str:
          {r('avg(s.humidity_percent)')} AS avg_humidity,
          count(*) AS measurement_count,
          max(s.processing_timestamp) AS last_updated
-  FROM silver s JOIN names n ON s.city_id = n.city_id
-  GROUP BY n.city_id, n.city_name, n.country_code{day_grp}
+  FROM silver s LEFT JOIN names n ON s.city_id = n.city_id
+  GROUP BY s.city_id, n.city_name, n.country_code{day_grp}
 )"""
 
 
@@ -65,7 +65,7 @@ trends AS (
          s.measurement_ts AS measurement_timestamp
   FROM (SELECT * FROM silver
         QUALIFY row_number() OVER (PARTITION BY city_id ORDER BY measurement_ts DESC, event_id DESC) = 1) s
-  JOIN names n ON s.city_id = n.city_id
+  LEFT JOIN names n ON s.city_id = n.city_id
 )"""
 
 DIM = """

@@ -179,13 +179,3 @@ def range_analysis(metrics: DataFrame, min_range: float = EXTREMES_VIEW_MIN) ->
     out = metrics.where(temp_range() > min_range).select(
         "city_name", "country_code", temp_range().alias("temp_range"), "avg_temperature", "measurement_count")
     return ordered(out, ["temp_range desc", "city_name", "country_code"])
-
-
-def partition_profile(silver: DataFrame, partition_col: str = "country_code") -> DataFrame:
-    """Rows and averages per silver partition value, largest first."""
-    out = group_profile(silver, [partition_col], {
-        "records": F.count(F.lit(1)),
-        "avg_temp": F.avg("temperature_celsius"),
-        "avg_humidity": F.avg("humidity_percent"),
-    })
-    return ordered(out, ["records desc", partition_col])

@@ -25,12 +25,13 @@ from strata.operators.clean import dedup_latest, require, stamp
 from strata.operators.dimension import dimension
 from strata.operators.flatten import flatten
 from strata.operators.window import latest, with_previous
+from strata.session import scratch_path
 from strata.tables import load
 
 # Fixed clock for repeatable output: processing time of the silver build and
 # the "now" of freshness reports.
 RUN_TS = "2024-02-01 00:00:00"
-AS_OF = "2024-02-01 00:00:00"
+AS_OF = "2024-02-03 07:30:00"
 
 READINGS_SPEC = [
     ("event_id", "bigint", "event_id"),
@@ -90,10 +91,18 @@ def city_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver readings with city name and country (one row per reading)."""
-    return readings(spark, sf_dir).join(city_names(spark, sf_dir), "city_id")
+    return readings(spark, sf_dir).join(city_names(spark, sf_dir), "city_id", "left")
 
 
-def gold_metrics(spark: SparkSession, sf_dir: str, daily: bool = False) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read from there, for
+    queries that use it more than once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def gold_metrics(spark: SparkSession, sf_dir: str, daily: bool = False, silver: DataFrame | None = None) -> DataFrame:
     """Aggregated metrics per city (all-time) or per city and day.
 
     avg / min / max are rounded half-up to 2 digits after aggregation (the
@@ -101,7 +110,7 @@ def gold_metrics(spark: SparkSession, sf_dir: str, daily: bool = False) -> DataF
     last_updated is the latest processing time. Aggregated by city_id first
     (map-side partial aggregation), names joined afterwards.
     """
-    r = readings(spark, sf_dir)
+    r = readings(spark, sf_dir) if silver is None else silver
     keys: list = ["city_id"]
     if daily:
         r = r.withColumn("measurement_date", F.to_date("measurement_ts"))
@@ -114,15 +123,16 @@ def gold_metrics(spark: SparkSession, sf_dir: str, daily: bool = False) -> DataF
         "measurement_count": F.count(F.lit(1)),
         "last_updated": F.max("processing_timestamp"),
     }, digits=2, round_cols=TEMP_COLS)
-    named = agg.join(city_names(spark, sf_dir), "city_id")
+    named = agg.join(city_names(spark, sf_dir), "city_id", "left")
     return named.select("city_name", "country_code", *keys[1:], *TEMP_COLS, "measurement_count",
                         "last_updated")
 
 
-def weather_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_trends(spark: SparkSession, sf_dir: str, silver: DataFrame | None = None) -> DataFrame:
     """Latest reading per city (ties on time broken by the newest event)."""
-    last = latest(readings(spark, sf_dir), ["city_id"], ["measurement_ts desc", "event_id desc"])
-    return last.join(city_names(spark, sf_dir), "city_id").select(
+    silver = readings(spark, sf_dir) if silver is None else silver
+    last = latest(silver, ["city_id"], ["measurement_ts desc", "event_id desc"])
+    return last.join(city_names(spark, sf_dir), "city_id", "left").select(
         "city_name", "country_code", F.col("temperature_celsius").alias("current_temp"),
         F.col("humidity_percent").alias("current_humidity"), "weather_condition",
         F.col("measurement_ts").alias("measurement_timestamp"),
@@ -133,7 +143,7 @@ def weather_trend_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest and previous reading per city with the temperature change."""
     two = with_previous(readings(spark, sf_dir), ["city_id"], ["measurement_ts desc", "event_id desc"],
                         ["temperature_celsius"])
-    return two.join(city_names(spark, sf_dir), "city_id").select(
+    return two.join(city_names(spark, sf_dir), "city_id", "left").select(
         "city_name", "country_code", F.col("temperature_celsius").alias("current_temp"),
         F.col("previous_temperature_celsius").alias("previous_temp"),
         F.round(F.col("delta_temperature_celsius"), 2).alias("temp_change"),
@@ -148,4 +158,4 @@ def partition_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("temperature_celsius").alias("sum_temp"), F.count("temperature_celsius").alias("n_temp"),
         F.sum("humidity_percent").alias("sum_hum"), F.count("humidity_percent").alias("n_hum"),
     )
-    return part.join(city_names(spark, sf_dir), "city_id")
+    return part.join(city_names(spark, sf_dir), "city_id", "left")

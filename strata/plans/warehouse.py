@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,12 +22,12 @@ from strata.operators.quality import null_rates
 from strata.operators.rules import gate, null_threshold_check, route
 from strata.operators.series import explode_series, map_value
 from strata.operators.window import latest
-from strata.schemas import (NULL_THRESHOLDS, STOCK_BAR_FIELDS, STOCK_BRONZE, STOCK_META_REFRESHED,
+from strata.schemas import (COUNTRY_CODE_LENGTH, NULL_THRESHOLDS, STOCK_BAR_FIELDS, STOCK_BRONZE, STOCK_META_REFRESHED,
                             STOCK_META_SYMBOL, VALUE_RANGES, WEATHER_BRONZE, WEATHER_CRITICAL, WEATHER_KEYS,
                             WEATHER_SILVER_SPEC)
 from strata.session import scratch_path
 from strata.sinks.files import write_layer
-from strata.sources.files import read_bronze, read_partitions
+from strata.sources.files import read_bronze, read_partitions, stored_table
 from strata.sources.payloads import split_payloads
 
 SILVER_PARTITION = "measurement_date"
@@ -129,16 +128,6 @@ class LayerResult:
     gold_rows: dict[str, int]
 
 
-def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    """The table at ``path``, or None where nothing has been written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def _merged(spark: SparkSession, path: str, new: DataFrame, name: str) -> DataFrame:
     """``new`` merged with the stored rows of the dates it touches, written to the
     shared scratch folder: per reading the newest ingestion stays, so an older
@@ -147,7 +136,7 @@ def _merged(spark: SparkSession, path: str, new: DataFrame, name: str) -> DataFr
     of dates is read (a pushed partition filter)."""
     ends = new.agg(F.min(SILVER_PARTITION).alias("lo"), F.max(SILVER_PARTITION).alias("hi"),
                    F.count_if(F.col(SILVER_PARTITION).isNull()).alias("undated")).first()
-    stored = _stored(spark, path, new.schema)
+    stored = stored_table(spark, path, new.schema)
     both = new
     if stored is not None:
         dated = F.col(SILVER_PARTITION)
@@ -181,7 +170,9 @@ def build_layers(spark: SparkSession, bronze_root: str, silver_path: str, gold_r
     dated = weather_silver(bronze, processed_at).withColumn(
         SILVER_PARTITION, F.to_date(F.timestamp_seconds("measurement_timestamp")))
     staged = scratch_path(spark, "routed")
-    routed = route(dated, ranges=VALUE_RANGES)
+    country = F.col("country_code")
+    routed = route(dated, ranges=VALUE_RANGES, extra=[
+        (f"country_code is not {COUNTRY_CODE_LENGTH} characters", country.isNull() | (F.length(country) == COUNTRY_CODE_LENGTH))])
     routed.write.partitionBy("dq_status").parquet(staged)
     routed = spark.read.schema(routed.schema).parquet(staged)
     good = routed.where(F.col("dq_status") == "valid").select(*dated.columns)

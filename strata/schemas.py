@@ -107,6 +107,7 @@ STOCK_BAR_FIELDS: list[tuple[str, str, str]] = [
 
 # ---------------------------------------------------------------------------
 # CSV transactions and relational users
+# Column names and types of both sources.
 # ---------------------------------------------------------------------------
 TRANSACTIONS = T.StructType(
     [
@@ -161,7 +162,12 @@ VALUE_RANGES: list[tuple[str, float, float]] = [
     ("humidity_percent", 0.0, 100.0),
     ("pressure_hpa", 800.0, 1100.0),
     ("wind_speed_mps", 0.0, 100.0),
+    ("latitude", -90.0, 90.0),
+    ("longitude", -180.0, 180.0),
+    ("cloudiness_percent", 0.0, 100.0),
 ]
+# Fixed value: characters of a country code.
+COUNTRY_CODE_LENGTH = 2
 
 # Climate classes by average temperature (lower bound inclusive
 # ranges as in the SQL: < 10 cold, BETWEEN 10 AND 20 temperate, > 20 warm).

@@ -8,7 +8,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from strata.functions import bucket, climate_zone, exact_avg, first_of, hours_between, path_col
-from strata.operators import (FanOutError, apply_defaults, bounded_broadcast, check_schema, dedup_latest,
+from strata.operators import (ConstraintError, FanOutError, constraint_violations, schema_holds, schema_report, apply_defaults, bounded_broadcast, check_schema, dedup_latest,
                               dense_index, dimension, duplicate_stats, enrich, flatten, group_profile,
                               insert_absent, latest, layer_counts, null_rates, profile, range_stats, require,
                               top_k, with_previous)
@@ -189,12 +189,34 @@ def test_range_stats_and_profile(spark):
 
 
 def test_check_schema(spark):
-    df = spark.createDataFrame([(1, "x")], "a int, b string")
-    res = check_schema(df, {"a": "bigint", "c": "string", "b": "string"})
-    assert res["schema_valid"] is False
-    assert res["missing_columns"] == ["c"] and res["extra_columns"] == []
-    assert res["type_mismatches"] == [{"column": "a", "expected": "bigint", "actual": "int"}]
-    assert check_schema(df, {"a": "int"})["schema_valid"] is True
+    df = spark.createDataFrame([(1, 2.0, "x")], "a int, b double, d string")
+    found = check_schema(df, {"a": "bigint", "c": "string", "b": "double"})
+    assert [(f.column_name, f.status) for f in found] == [("a", "mismatch"), ("b", "ok"), ("c", "missing"), ("d", "extra")]
+    assert not schema_holds(found) and schema_holds(check_schema(df, {"a": "int"}))
+    assert {r.status for r in schema_report(spark, df, {"a": "int"}).collect()} == {"ok", "extra"}
+
+
+def test_lazy_guard_raises_in_the_plan(spark):
+    fact = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "city string, v int")
+    good = spark.createDataFrame([("a", 1.0), (None, 2.0), (None, 3.0)], "city string, x double")
+    got = {r.v: r.x for r in enrich(fact, good, ["city"], "left").collect()}
+    assert got == {1: 1.0, 2: None, 3: None}
+    with pytest.raises(Exception, match="not unique"):
+        enrich(fact, good.unionByName(good), ["city"]).collect()
+    assert enrich(fact, good.unionByName(good), ["city"], guard=False).count() == 2
+
+
+def test_constraints_before_the_insert(spark):
+    table = spark.createDataFrame([(1, "a", "a@x")], "id int, username string, email string")
+    new = spark.createDataFrame([(1, "z", "z@x"), (2, "b", None), (3, "b", "b@x")], table.schema)
+    found = {(r.rule, r.columns): r.violations for r in
+             constraint_violations(new, ["id", "email"], [["username"], ["email"]]).collect()}
+    assert found == {("not_null", "id"): 0, ("not_null", "email"): 1, ("unique", "username"): 1, ("unique", "email"): 0}
+    assert insert_absent(table, new, ["id"], ["username"], not_null=["id"]).count() == 3
+    for rules in ({"not_null": ["email"]}, {"unique": [["username"]]}):
+        with pytest.raises(ConstraintError):
+            insert_absent(table, new, ["id"], ["username"], **rules)
+
 
 
 def test_exact_avg_keeps_digits_nan_and_large_values(spark):

@@ -222,3 +222,54 @@ def test_csv_required_columns(spark, tmp):
         fh.write("transaction_id,customer_id,product,timestamp,category\nT1,C1,Pen,2024-01-01 00:00:00,X\n")
     assert missing_required(read_bronze(spark, ok, "csv"), TRANSACTIONS_REQUIRED) == []
     assert missing_required(read_bronze(spark, bad, "csv"), TRANSACTIONS_REQUIRED) == ["amount"]
+
+
+def test_read_csv_binds_by_header(spark, tmp):
+    from strata.schemas import TRANSACTIONS_REQUIRED
+    path = os.path.join(tmp, "reordered.csv")
+    with open(path, "w") as fh:
+        fh.write("amount,product,extra,timestamp,customer_id,transaction_id\n12.50,Pen,x,2024-01-01 10:00:00,C1,T1\n"
+                 "bad,Cup,x,2024-01-01 10:00:00,C2,T2\n")
+    one, two = read_csv(spark, path, TRANSACTIONS, required=TRANSACTIONS_REQUIRED).orderBy("transaction_id").collect()
+    assert (one.product, str(one.amount), one.customer_id, one.category, one._corrupt_record) == ("Pen", "12.50", "C1", None, None)
+    assert two.amount is None and two._corrupt_record.startswith("bad,Cup")
+    with pytest.raises(ValueError, match="category"):
+        read_csv(spark, path, TRANSACTIONS, required=["category"])
+
+
+def test_landed_csv_gives_texts_back(spark, tmp):
+    from strata.sinks import land_csv
+    from strata.sources.files import read_landed_csv
+    texts = ["a\nb", "", None, "\\N", "\\n", "\\\\\n", " x ", 'q"u,o', "\r\n", "NA", "\\", '\\"']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").withColumn("at", F.lit("2024-01-05").cast("timestamp_ntz"))
+    root = os.path.join(tmp, "csv")
+    land_csv(df, root, "src", "f.csv", F.to_date("at"), "at")
+    schema = spark.createDataFrame([], "id int, t string, at timestamp_ntz, source string, original_filename string, ingestion_date date").schema
+    got = sorted((r.id, r.t) for r in read_landed_csv(spark, root, schema).collect())
+    assert got == list(enumerate(texts))
+
+
+def test_partitioned_table_and_all_views(spark, tmp):
+    from strata.sources.catalog import register_product_views
+    path = os.path.join(tmp, "part")
+    write_layer(spark.createDataFrame([(1, "NO"), (2, "SE")], "id int, country_code string"), path, ["country_code"])
+    assert register_table(spark, "part_tbl", path).count() == 2  # partitions are found
+    write_layer(spark.createDataFrame([(3, "FR")], "id int, country_code string"), path, ["country_code"])
+    assert repair(spark, "part_tbl") is True
+    assert spark.table("part_tbl").count() == 3
+    spark.sql("DROP TABLE part_tbl")
+    metrics = spark.createDataFrame([("Oslo", "NO", 4.0, -3.0, 9.0, 60.0, 1000.0)],
+                                    "city_name string, country_code string, avg_temperature double, min_temperature double, max_temperature double, avg_humidity double, avg_pressure double")
+    trends = spark.createDataFrame([("Oslo", "NO", 5.0, 50, "Rain")], "city_name string, country_code string, current_temp double, current_humidity int, weather_condition string")
+    dim = spark.createDataFrame([("Oslo", "NO", 59.9, 10.7), ("Rome", "IT", 41.9, 12.5)], "city_name string, country_code string, latitude double, longitude double")
+    assert register_product_views(spark, metrics, trends, dim) == ["v_city_climate_profile", "v_current_weather_summary", "v_weather_extremes"]
+    assert spark.sql("SELECT temp_deviation FROM v_current_weather_summary").first()[0] == 1.0
+    assert {r.city_name: r.climate_classification for r in spark.table("v_city_climate_profile").collect()} == {"Oslo": "Cold", "Rome": "Warm"}
+    assert spark.table("v_weather_extremes").first().temperature_range == 12.0
+
+
+def test_one_events_scan_per_report(spark):
+    from strata.plans.registry import QUERIES
+    for name in ("current_with_dimension", "climate_profile", "current_vs_history", "layer_counts"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("/events.parquet") <= 1, name
