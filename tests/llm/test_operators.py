@@ -189,6 +189,18 @@ def test_inconsistent_slots_are_no_match(spark):
     assert [r["doc_id"] for r in out] == [2]
 
 
+def test_one_changed_name_vetoes_no_verbatim_windows(spark):
+    words = [f"plain{i}" for i in range(100)]
+    for i in (20, 50, 56):
+        words[i] = "Anna"
+    copy = words[:50] + ["Ana"] + words[51:]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = docs_of(spark, [(1, "Some words before it. " + " ".join(copy), "a"), (2, "nothing of it", "a")])
+    found = decontam.contaminated(docs, bench).collect()
+    assert [(r["doc_id"], r["item_id"], r["exact"]) for r in found] == [(1, 1, False)] and found[0]["run_tokens"] >= 43
+    assert [r["doc_id"] for r in decontam.drop_contaminated(docs, bench).collect()] == [2]
+
+
 # --- toxicity -----------------------------------------------------------------
 
 def brute_segments(scores):
