@@ -201,6 +201,20 @@ def test_one_changed_name_vetoes_no_verbatim_windows(spark):
     assert [r["doc_id"] for r in decontam.drop_contaminated(docs, bench).collect()] == [2]
 
 
+@pytest.mark.parametrize("max_index", [0, 4_000_000])
+def test_verbatim_copies_are_found_whatever_their_slots(spark, max_index):
+    caps = "WHICH RIVER RUNS THROUGH THE OLD CITY OF PRAGUE AND ENDS IN THE ELBE NEAR MELNIK"
+    numbers = "12 15 sum 27 and 30 41 sum 71 and 8 9 sum 17 and 100 3 sum 103"
+    bench = spark.createDataFrame([(1, caps), (2, numbers), (3, "What is the capital of France?"), (4, ITEM)], "item_id long, text string")
+    other = ITEM.replace("45", "120").replace("Anselm", "Brigitte").replace(" 3 ", " 7 ")
+    rows = [(1, f"so asked: {caps} and so on", "a"), (2, f"rows are {numbers} in all", "a"), (3, "Question: What is the capital of France?", "a"),
+            (4, "Question: What is the weather of France today in April?", "a"), (5, numbers.replace("7", "8").replace("1", "2"), "a"),
+            (6, f"Some words before it. {other} After.", "a")]
+    found = {(r["doc_id"], r["item_id"]): (r["exact"], r["coverage"]) for r in
+             decontam.contaminated(docs_of(spark, rows), bench, max_index=max_index).collect()}
+    assert found == {(1, 1): (True, 1.0), (2, 2): (True, 1.0), (3, 3): (True, 1.0), (5, 2): (False, 1.0), (6, 4): (False, 1.0)}
+
+
 # --- toxicity -----------------------------------------------------------------
 
 def brute_segments(scores):
