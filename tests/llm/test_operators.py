@@ -215,6 +215,17 @@ def test_verbatim_copies_are_found_whatever_their_slots(spark, max_index):
     assert found == {(1, 1): (True, 1.0), (2, 2): (True, 1.0), (3, 3): (True, 1.0), (5, 2): (False, 1.0), (6, 4): (False, 1.0)}
 
 
+def test_every_benchmark_passage_is_searched(spark):
+    passages = [f"{w} one plain line about {w} and the long way home to {w}" for w in ("apples", "bridges", "candles", "doors")]
+    big = (1 << 62) + 1
+    bench = spark.createDataFrame([(0, passages[0]), (0, passages[1]), (None, passages[2]), (None, passages[3]), (big, passages[3]), (0, passages[0])],
+                                  "item_id long, text string")
+    docs = docs_of(spark, [(i, f"before it. {t}", "a") for i, t in enumerate(passages)])
+    found = sorted(((r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, bench).collect()), key=str)
+    assert found == [(0, 0), (1, 0), (2, None), (3, big), (3, None)]
+    assert decontam.drop_contaminated(docs, bench).count() == 0
+
+
 # --- toxicity -----------------------------------------------------------------
 
 def brute_segments(scores):
