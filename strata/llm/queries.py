@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontam, line_dedup, lm, merkle, mixing, secret_scan, sharding, simhash, toxicity
+import public_tokenizers
+
+from strata.llm import (bpe, chat, decontam, line_dedup, lm, manifest, merkle, mixing, secret_scan, sharding, simhash,
+                        toxicity, turn_repair)
 from strata.llm.common import documents, held_out
 from strata.tables import load
 
@@ -121,3 +124,38 @@ def op9(spark, sf_dir):
 @query("op8_lm_score")
 def op8(spark, sf_dir):
     return lm.score(documents(spark, sf_dir))
+
+
+@query("op12_bpe")
+def op12(spark, sf_dir):
+    vocabulary = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = documents(spark, sf_dir).select("doc_id", bpe.encode(F.col("text"), vocabulary).alias("ids"))
+    both = ids.withColumn("decoded", bpe.decode(F.col("ids"), vocabulary))
+    return both.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def manifest_proofs(docs: DataFrame) -> DataFrame:
+    """Leaves, roots and proofs of ``docs``, checked against rows of which some have lost their line breaks."""
+    values = lambda text: manifest.leaf_digest([F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text])
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    rows = docs.select(
+        "doc_id", "source", values(F.col("text")).alias("leaf"),
+        F.when(touched, values(F.replace("text", F.lit("\n"), F.lit("")))).alias("tampered"))
+    proved, root = manifest.manifest(rows.select("doc_id", "tampered", "source", "leaf"), F.col("source"), F.col("doc_id"), F.col("leaf"))
+    out = proved.select("row.doc_id", "leaf", manifest.subroot(F.col("path")).alias("subroot"), F.lit(root).cast("string").alias("root"),
+                        F.sha2(manifest.siblings(F.col("path")).cast("binary"), 256).alias("proof_sha256"),
+                        manifest.fold(F.col("path"), F.coalesce("row.tampered", "leaf")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op13_manifest")
+def op13(spark, sf_dir):
+    return manifest_proofs(documents(spark, sf_dir))
+
+
+@query("op11_turn_repair")
+def op11(spark, sf_dir):
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    out = turn_repair.digests(turn_repair.repair(turn_repair.damaged(turns)))
+    return out.withColumn("conv_id", F.col("conv_id").cast("long"))
