@@ -15,7 +15,7 @@ binary value, which is the form token files are stored in; ``unpack`` gives
 them as an array.
 
 Scale: rows are independent (no shuffle). A task holds the vocabulary (a size
-fixed by its file), one Arrow batch and a memo of at most ``memo`` pre-tokens.
+fixed by its file), one Arrow batch and a memory of at most ``memo`` pre-tokens.
 
 Edge cases: a null or empty text has no ids; texts alike have ids alike; an
 empty table gives no rows; ids that are not in the vocabulary fail the decoding.
@@ -29,6 +29,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 from itertools import islice
+from struct import iter_unpack, pack
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 _GOLDEN, _MIX, _MASK = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1
 _TRIES = 256
-_LONG_TOKEN, _LONG_TEXT = 64, 1 << 20
+_LONG_TOKEN, _LONG_SPAN, _LONG_TEXT = 64, 16, 1 << 20
 
 
 def _slot(h: int, displacement: int, n: int) -> int:
@@ -117,121 +118,180 @@ class Vocabulary:
     pattern: str
     index: PerfectHash
     ranks: list[int]
+    digest: str
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Vocabulary:
         """From a rank file: a line per entry, its bytes in base64 and its rank."""
-        with open(path, "rb") as lines:
-            entries = [line.split() for line in lines if line.strip()]
+        with open(path, "rb") as file:
+            content = file.read()
+        entries = [line.split() for line in content.splitlines() if line.strip()]
         ranks = {base64.b64decode(text): int(rank) for text, rank in entries}
         lacking = [b for b in range(256) if bytes([b]) not in ranks]
         if lacking:
             raise ValueError(f"{path} lacks the bytes {lacking}")
         index = PerfectHash.build(list(ranks))
-        return cls(pattern, index, [ranks[key] for key in index.keys])
+        digest = xxhash.xxh3_128_hexdigest(content + pattern.encode())
+        return cls(pattern, index, [ranks[key] for key in index.keys], digest)
 
     def rank(self, token: bytes) -> int:
         slot = self.index.find(token)
         return -1 if slot < 0 else self.ranks[slot]
 
+
+class _Ranks(dict):
+    """Ranks of short byte strings (-1: no entry) that have been looked up before."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self._look = vocabulary.rank
+
+    def __missing__(self, token: bytes) -> int:
+        rank = self._look(token)
+        if len(token) <= _LONG_SPAN:
+            self[token] = rank
+        return rank
+
+
+class Encoder:
+    """Encodes texts one after another. It remembers the ids of at most ``memo`` pre-tokens, in a younger and an
+    older half: when the younger is full it becomes the older, so what comes up often stays. Ranks of byte strings are
+    remembered up to the same number, then begun anew."""
+
+    def __init__(self, vocabulary: Vocabulary, memo: int = 400_000):
+        self._split, self._half = regex.compile(vocabulary.pattern), max(1, memo // 2)
+        self._byte_ids = [vocabulary.rank(bytes([b])) for b in range(256)]
+        self._pair_ranks = [vocabulary.rank(bytes([a, b])) for a in range(256) for b in range(256)]
+        self._ranks = _Ranks(vocabulary)
+        self._whole = vocabulary.rank
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+
     def merge(self, token: bytes) -> list[int]:
         """Ids of a pre-token that is no entry: neighbours of the least rank are joined first."""
-        n = len(token)
-        end = list(range(1, n + 1))  # of the piece that starts here; 0: no piece starts here any more
+        n, look, pair_ranks = len(token), self._ranks.__getitem__, self._pair_ranks
+        ids = [self._byte_ids[b] for b in token]  # of the piece that starts here
+        end = list(range(1, n + 1))  # of the piece that starts here; 0: none does any more
         before = list(range(-1, n - 1))  # start of the piece to the left
-        rank = self.rank
-        heap = []
-        for i in range(n - 1):
-            r = rank(token[i:i + 2])
-            if r >= 0:
-                heap.append((r, i, i + 1, i + 2))
+        joined = [pair_ranks[a << 8 | b] for a, b in zip(token, token[1:])]  # rank of this piece with the next one, or -1
+        joined.append(-1)
+        bits = n.bit_length()
+        mask = (1 << bits) - 1
+        heap = [r << bits | i for i, r in enumerate(joined) if r >= 0]
         heapify(heap)
         while heap:
-            _, left, right, stop = heappop(heap)
-            if end[left] != right or end[right] != stop:
+            pair = heappop(heap)
+            left, r = pair & mask, pair >> bits
+            if joined[left] != r:
                 continue  # one of the two has been joined to another since
-            end[left], end[right] = stop, 0
+            right = end[left]
+            stop = end[right]
+            ids[left], end[left], end[right], joined[right] = r, stop, 0, -1
             if stop < n:
                 before[stop] = left
-                r = rank(token[left:end[stop]])
+                joined[left] = r = look(token[left:end[stop]])
                 if r >= 0:
-                    heappush(heap, (r, left, stop, end[stop]))
+                    heappush(heap, r << bits | left)
+            else:
+                joined[left] = -1
             start = before[left]
             if start >= 0:
-                r = rank(token[start:stop])
+                joined[start] = r = look(token[start:stop])
                 if r >= 0:
-                    heappush(heap, (r, start, left, stop))
-        ids, i = [], 0
-        while i < n:
-            ids.append(rank(token[i:end[i]]))
-            i = end[i]
-        return ids
-
-
-class _Memo(dict):
-    """Packed ids by pre-token; short ones are remembered."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, token: str) -> bytes:
-        raw = token.encode("utf-8")
-        whole = self.vocabulary.rank(raw)
-        ids = [whole] if whole >= 0 else self.vocabulary.merge(raw)
-        packed = np.array(ids, dtype="<u4").tobytes()
+                    heappush(heap, r << bits | start)
+        return [i for i, stop in zip(ids, end) if stop]
+
+    def _pack(self, token: str) -> bytes:
+        """Packed ids of a pre-token that the younger half does not hold."""
+        packed = self._old.get(token)
+        if packed is None:
+            raw = token.encode("utf-8")
+            whole = self._whole(raw)
+            ids = [whole] if whole >= 0 else self.merge(raw)
+            packed = pack(f"<{len(ids)}I", *ids)
         if len(token) <= _LONG_TOKEN:
-            self[token] = packed
+            self._young[token] = packed
         return packed
 
-
-class Encoder:
-    """Encodes texts one after another, with a memo of at most ``memo`` pre-tokens (then begun anew)."""
-
-    def __init__(self, vocabulary: Vocabulary, memo: int = 400_000):
-        self._split, self._memo, self._limit = regex.compile(vocabulary.pattern), _Memo(vocabulary), memo
+    def _packed(self, tokens: list[str]) -> bytes:
+        if len(self._young) > self._half:
+            self._young, self._old = {}, self._young
+        if len(self._ranks) > 2 * self._half:
+            self._ranks.clear()
+        known, make = self._young.get, self._pack
+        return b"".join([known(t) or make(t) for t in tokens])
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        look = self._memo.__getitem__
-        if len(self._memo) > self._limit:
-            self._memo.clear()
         if len(text) <= _LONG_TEXT:
-            return b"".join(map(look, self._split.findall(text)))
+            return self._packed(self._split.findall(text))
         out, found = bytearray(), (m.group() for m in self._split.finditer(text))
-        while some := b"".join(map(look, islice(found, 1 << 16))):
-            out += some
-            if len(self._memo) > self._limit:
-                self._memo.clear()
+        while some := list(islice(found, 1 << 16)):
+            out += self._packed(some)
         return bytes(out)
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(vocabulary: Vocabulary, memo: int) -> Encoder:
+    """This worker process's encoder: its memory serves one task after another. Only the latest vocabulary's is kept."""
+    name = f"{vocabulary.digest}:{memo}"
+    if name not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[name] = Encoder(vocabulary, memo)
+    return _ENCODERS[name]
+
+
 def encode(text: Column, vocabulary: Vocabulary, memo: int = 400_000) -> Column:
     """The packed ids of a text."""
 
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(vocabulary, memo)
+        encoder = _encoder(vocabulary, memo)
         for texts in batches:
             yield pd.Series([encoder(t) for t in texts], dtype=object)
 
     return run(text)
 
 
+class Decoder:
+    def __init__(self, vocabulary: Vocabulary):
+        self._token_of = dict(zip(vocabulary.ranks, vocabulary.index.keys))
+
+    def __call__(self, packed: bytes | None) -> bytes | None:
+        if packed is None:
+            return None
+        token_of = self._token_of
+        return b"".join([token_of[i] for (i,) in iter_unpack("<I", packed)])
+
+
 def decode(packed: Column, vocabulary: Vocabulary) -> Column:
     """The bytes that packed ids stand for; null for null."""
 
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        token_of = dict(zip(vocabulary.ranks, vocabulary.index.keys))
+        decoder = Decoder(vocabulary)
         for values in batches:
-            yield pd.Series([None if v is None else b"".join([token_of[i] for i in np.frombuffer(v, "<u4").tolist()])
-                             for v in values], dtype=object)
+            yield pd.Series([decoder(v) for v in values], dtype=object)
 
     return run(packed)
 
 
+def round_trip(text: Column, vocabulary: Vocabulary, memo: int = 400_000) -> Column:
+    """``ids`` (packed) and ``decoded`` (what ``decode`` gives for them) of a text, by one worker process."""
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder, decoder = _encoder(vocabulary, memo), Decoder(vocabulary)
+        for texts in batches:
+            ids = [encoder(t) for t in texts]
+            yield pd.DataFrame({"ids": ids, "decoded": [decoder(v) for v in ids]}, dtype=object)
+
+    return run(text)
+
+
 def n_tokens(packed: Column) -> Column:
     return F.shiftright(F.octet_length(packed), 2).cast("long")
 

@@ -129,10 +129,9 @@ def op8(spark, sf_dir):
 @query("op12_bpe")
 def op12(spark, sf_dir):
     vocabulary = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    ids = documents(spark, sf_dir).select("doc_id", bpe.encode(F.col("text"), vocabulary).alias("ids"))
-    both = ids.withColumn("decoded", bpe.decode(F.col("ids"), vocabulary))
-    return both.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    out = documents(spark, sf_dir).select("doc_id", bpe.round_trip(F.col("text"), vocabulary).alias("both"))
+    return out.select("doc_id", bpe.n_tokens(F.col("both.ids")).alias("n_tokens"), F.sha2("both.ids", 256).alias("ids_sha256"),
+                      F.sha2("both.decoded", 256).alias("decoded_sha256"))
 
 
 def manifest_proofs(docs: DataFrame) -> DataFrame:
