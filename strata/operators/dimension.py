@@ -69,8 +69,8 @@ def dimension(
     One row per natural key survives (first under ``order``, default the
     attributes themselves). Without ``existing`` keys run 1..N in natural-key
     order. With ``existing`` (a previous build holding ``key_name``), known
-    keys keep their surrogate and new keys continue after the current maximum,
-    so keys are stable across runs.
+    keys keep their surrogate, new keys continue after the current maximum, and
+    the attributes are those of ``df`` where it has the key, else the stored ones.
     """
     cols = [natural_key, *attrs]
     survivors = dedup_latest(df.select(*cols), [natural_key], list(order or attrs or [natural_key]))
@@ -81,4 +81,7 @@ def dimension(
     numbered = dense_index(new, [natural_key], "__strata_new").select(
         (F.col("__strata_new") + top).cast(existing.schema[key_name].dataType).alias(key_name), *cols
     )
-    return existing.select(key_name, *cols).unionByName(numbered)
+    newer = survivors.select(F.lit(True).alias("__newer"), F.col(natural_key), *[F.col(a).alias(f"__{a}") for a in attrs])
+    both = existing.select(key_name, *cols).join(newer, natural_key, "left")
+    current = both.select(key_name, natural_key, *[F.when(F.col("__newer"), F.col(f"__{a}")).otherwise(F.col(a)).alias(a) for a in attrs])
+    return current.unionByName(numbered)

@@ -10,6 +10,7 @@ folder first and return the read-back).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -704,12 +705,19 @@ def stream_dedup_q(spark, sf_dir):
     from strata.streaming.incremental import read_deduped, stream_dedup
     keys = ["l_orderkey", "l_linenumber"]
     out = _scratch(spark, "stream_dedup")
-    # Four files, one a micro-batch: ship dates span years, so many keys first arrive behind the watermark.
-    source = load(spark, sf_dir, "lineitem").select(*keys, F.col("l_shipdate").cast("timestamp").alias("event_time"))
-    source.repartition(4, *keys).write.parquet(out + "/source")
-    stream_dedup(spark, out + "/source", source.schema, keys, "event_time", "30 days", out + "/data", out + "/_checkpoint",
-                 max_files_per_trigger=1)
-    return read_deduped(spark, out + "/data", source.schema).select(*keys)
+    # Every row in two of four files, a micro-batch each and two runs: all keys come again, some of them with an earlier
+    # time, and ship dates span years.
+    shipped = F.col("l_shipdate").cast("timestamp")
+    part = F.pmod(F.xxhash64(*keys), F.lit(4)).cast("int")
+    copies = F.explode(F.array(F.struct(part.alias("file"), shipped.alias("event_time")),
+                               F.struct(((part + 1) % 4).alias("file"), F.date_sub(shipped, 400).cast("timestamp").alias("event_time"))))
+    rows = load(spark, sf_dir, "lineitem").select(*keys, copies.alias("c")).select(*keys, "c.event_time", "c.file")
+    for run in range(2):
+        files = rows.where(F.floor(F.col("file") / 2) == run).repartition(2, "file").drop("file")
+        files.write.mode("append").parquet(out + "/source")
+        stream_dedup(spark, out + "/source", files.schema, keys, "event_time", None, out + "/data", out + "/_checkpoint",
+                     buckets=8, max_files_per_trigger=1)
+    return read_deduped(spark, out + "/data", files.schema).select(*keys)
 
 
 @query("stream_merge", """
@@ -762,7 +770,7 @@ def distinct_partitions(spark, sf_dir):
 # The warehouse day by day, typed stock bars, table constraints, report files
 # ---------------------------------------------------------------------------
 
-@query("weather_days", f"""
+_WEATHER_RAW = """
 WITH raw AS (
   SELECT event_id, event_id % 3 AS d, user_id AS city_id, 'City ' || user_id AS city_name,
          list_value('NO', 'SE', 'FR')[user_id % 3 + 1] AS country_code, value / 7 AS t, value / 7 - 1 AS t_min,
@@ -772,39 +780,132 @@ WITH raw AS (
   FROM events WHERE user_id IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)),
 daily AS (SELECT *, t BETWEEN -50 AND 60 AND wind BETWEEN 0 AND 100 AND humidity BETWEEN 0 AND 100 AS valid FROM raw
           QUALIFY row_number() OVER (PARTITION BY d, city_id, dt ORDER BY event_id DESC) = 1),
-merged AS (SELECT * FROM daily QUALIFY row_number() OVER (PARTITION BY valid, city_id, dt ORDER BY d DESC, event_id DESC) = 1)
-SELECT city_name, country_code, {O.r('avg(t) FILTER (valid)')} AS avg_temperature,
-       {O.r('min(t_min) FILTER (valid)')} AS min_temperature, {O.r('max(t_max) FILTER (valid)')} AS max_temperature,
-       {O.r('avg(humidity) FILTER (valid)')} AS avg_humidity, {O.r('avg(pressure) FILTER (valid)')} AS avg_pressure,
-       {O.r('avg(wind) FILTER (valid)')} AS avg_wind_speed, count(*) FILTER (valid) AS measurement_count,
-       count(*) FILTER (NOT valid) AS quarantined
-FROM merged GROUP BY city_name, country_code HAVING count(*) FILTER (valid) > 0""")
-def weather_days(spark, sf_dir):
-    """Events landed as nested JSON lines over three days; the layers built day by day."""
+merged AS (SELECT * FROM daily QUALIFY row_number() OVER (PARTITION BY valid, city_id, dt ORDER BY d DESC, event_id DESC) = 1)"""
+
+
+def _land_weather(spark, sf_dir, root, day_of, name=None):
+    """Events landed as nested JSON lines of weather documents, on the day ``day_of`` (a number) of March 2024."""
     import datetime as dt
 
-    from strata.plans.warehouse import build_layers
     from strata.sinks.files import write_landing
     from strata.sources.files import TS_FORMAT
     n, city, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    first = dt.date(2024, 3, 1)
-    landed = F.timestamp_micros(F.unix_micros(F.date_add(F.lit(first), F.pmod(n, F.lit(3)).cast("int")).cast("timestamp")) + n)
+    landed = F.timestamp_micros(F.unix_micros(F.date_add(F.lit(dt.date(2024, 3, 1)), day_of.cast("int")).cast("timestamp")) + n)
     docs = S.bronze_events(spark, sf_dir).select(
-        city.alias("id"), F.concat(F.lit("City "), city.cast("string")).alias("name"),
+        city.alias("id"), (F.concat(F.lit("City "), city.cast("string")) if name is None else name).alias("name"),
         F.struct((value / 7).alias("temp"), (value / 7 - 1).alias("temp_min"), (value / 7 + 1).alias("temp_max"),
                  (900 + n % 100).alias("pressure"), F.col("props.k").alias("humidity")).alias("main"),
         F.struct((value / 11).alias("speed")).alias("wind"), F.array(F.struct(F.col("event_type").alias("main"))).alias("weather"),
         F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").alias("dt"),
         F.struct(F.element_at(F.array(F.lit("NO"), F.lit("SE"), F.lit("FR")), (city % 3 + 1).cast("int")).alias("country")).alias("sys"),
         F.date_format(landed, TS_FORMAT).alias("ingestion_timestamp"), landed.alias("landed_at"))
+    write_landing(docs, root, "landed_at")
+
+
+def _run_days(spark, base, days):
+    import datetime as dt
+
+    from strata.plans.daily import run_day
+    from strata.sinks.snapshots import Lake
+    lake = Lake(spark, base + "/lake")
+    for i in range(days):
+        run_day(lake, base + "/bronze", dt.date(2024, 3, 1 + i), F.lit(S.RUN_TS).cast("timestamp"))
+    return lake
+
+
+@query("weather_days", _WEATHER_RAW + f""",
+first AS (SELECT city_id, min(d) AS d FROM merged WHERE valid GROUP BY city_id),
+keys AS (SELECT city_id, row_number() OVER (ORDER BY d, city_id) AS dim_city_key FROM first)
+SELECT city_name, country_code, {O.r('avg(t) FILTER (valid)')} AS avg_temperature,
+       {O.r('min(t_min) FILTER (valid)')} AS min_temperature, {O.r('max(t_max) FILTER (valid)')} AS max_temperature,
+       {O.r('avg(humidity) FILTER (valid)')} AS avg_humidity, {O.r('avg(pressure) FILTER (valid)')} AS avg_pressure,
+       {O.r('avg(wind) FILTER (valid)')} AS avg_wind_speed, count(*) FILTER (valid) AS measurement_count,
+       count(*) FILTER (NOT valid) AS quarantined, max(dim_city_key) AS dim_city_key,
+       arg_max(t, dt) FILTER (valid) AS current_temp, arg_max(humidity, dt) FILTER (valid) AS current_humidity,
+       max(dt) FILTER (valid) AS measurement_timestamp
+FROM merged LEFT JOIN keys USING (city_id) GROUP BY city_name, country_code HAVING count(*) FILTER (valid) > 0""")
+def weather_days(spark, sf_dir):
+    """Events landed over three days; the layers built day by day from what each day touches."""
     base = _scratch(spark, "weather_days")
-    write_landing(docs, base + "/bronze", "landed_at")
-    for i in range(3):
-        build_layers(spark, base + "/bronze", base + "/silver", base + "/gold", day=first + dt.timedelta(days=i),
-                     processed_at=F.lit(S.RUN_TS).cast("timestamp"))
-    gold = spark.read.parquet(base + "/gold/aggregated_weather_metrics").drop("last_updated")
-    bad = spark.read.schema("city_name string").parquet(base + "/silver_quarantine").groupBy("city_name").agg(F.count(F.lit(1)).alias("quarantined"))
-    return gold.join(bad, "city_name", "left").withColumn("quarantined", F.coalesce("quarantined", F.lit(0)))
+    _land_weather(spark, sf_dir, base + "/bronze", F.pmod("event_id", F.lit(3)))
+    now = _run_days(spark, base, 3).snapshot()
+    bad = now.table("silver_quarantine").groupBy("city_name").agg(F.count(F.lit(1)).alias("quarantined"))
+    keys = now.table("dim_city").select("city_name", "dim_city_key")
+    trends = now.table("weather_trends").drop("country_code", "weather_condition")
+    gold = now.table("aggregated_weather_metrics").drop("last_updated").join(trends, "city_name", "left")
+    gold = gold.join(keys, "city_name", "left").join(bad, "city_name", "left")
+    return gold.withColumn("quarantined", F.coalesce("quarantined", F.lit(0)))
+
+
+@query("city_renames", """
+WITH raw AS (
+  SELECT event_id, CASE WHEN user_id % 5 = 0 THEN 1 ELSE event_id % 2 END AS d, user_id AS city_id,
+         CASE WHEN user_id % 3 = 0 AND ts >= TIMESTAMP '2024-01-12 00:00:00' AND ts < TIMESTAMP '2024-01-22 00:00:00'
+              THEN 'Town ' ELSE 'City ' END || user_id AS city_name,
+         value / 7 BETWEEN -50 AND 60 AND value / 11 BETWEEN 0 AND 100
+           AND CAST(json_extract_string(props, '$.k') AS INTEGER) BETWEEN 0 AND 100 AS valid,
+         datesub('second', TIMESTAMP '1970-01-01 00:00:00', ts) AS dt
+  FROM events WHERE user_id IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)),
+daily AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY d, city_id, dt ORDER BY event_id DESC) = 1),
+seen AS (SELECT * FROM daily WHERE valid QUALIFY row_number() OVER (PARTITION BY city_id, dt ORDER BY d DESC, event_id DESC) = 1),
+keys AS (SELECT city_id, row_number() OVER (ORDER BY min(d), city_id) AS dim_city_key FROM seen GROUP BY city_id),
+marked AS (SELECT *, CASE WHEN lag(city_name) OVER w = city_name THEN 0 ELSE 1 END AS begins FROM seen WINDOW w AS (PARTITION BY city_id ORDER BY dt)),
+runs AS (SELECT *, sum(begins) OVER (PARTITION BY city_id ORDER BY dt) AS run FROM marked),
+spells AS (SELECT city_id, city_name, run, min(dt) AS lo, max(dt) AS hi FROM runs GROUP BY ALL)
+SELECT dim_city_key, city_id, city_name, TIMESTAMP '1970-01-01 00:00:00' + to_seconds(lo) AS valid_from,
+       TIMESTAMP '1970-01-01 00:00:00' + to_seconds(lead(lo) OVER (PARTITION BY city_id ORDER BY lo)) AS valid_to,
+       TIMESTAMP '1970-01-01 00:00:00' + to_seconds(hi) AS last_seen
+FROM spells JOIN keys USING (city_id)""")
+def city_renames(spark, sf_dir):
+    """Two landed days: some (smaller) city ids arrive on the second only, some cities are renamed for ten days and
+    back, and the second day's readings lie between those of the first. Keys stay; the history has every spell."""
+    base = _scratch(spark, "city_renames")
+    day = F.when(F.col("user_id") % 5 == 0, 1).otherwise(F.pmod("event_id", F.lit(2)))
+    renamed = (F.col("user_id") % 3 == 0) & (F.col("ts") >= "2024-01-12") & (F.col("ts") < "2024-01-22")
+    name = F.concat(F.when(renamed, "Town ").otherwise("City "), F.col("user_id").cast("string"))
+    _land_weather(spark, sf_dir, base + "/bronze", day, name)
+    spans = _run_days(spark, base, 2).snapshot().table("city_history")
+    ntz = {c: F.col(c).cast("timestamp_ntz") for c in ("valid_from", "valid_to", "last_seen")}
+    return spans.withColumns(ntz).drop("country_code", "latitude", "longitude")
+
+
+@query("lake_rollback", """
+SELECT o_orderkey, o_custkey, o_totalprice, 1 AS version FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, 2 FROM orders
+UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, 3 FROM orders WHERE o_orderkey % 2 = 0""")
+def lake_rollback(spark, sf_dir):
+    """Two loads, a third one that its gate stops, and a rollback to the first: all versions can be read."""
+    from strata.operators.rules import QualityGateError, gate
+    from strata.sinks.snapshots import Lake
+    lake = Lake(spark, _scratch(spark, "lake_rollback"))
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    even = F.col("o_orderkey") % 2 == 0
+    lake.begin().replace("orders", orders.where(even)).commit()
+    lake.begin().append("orders", orders.where(~even)).commit()
+    change = lake.begin().replace("orders", orders.withColumn("o_custkey", F.lit(None).cast("long")))
+    try:
+        gate(null_threshold_check(spark, null_rates(change.staged("orders")), [("silver", "o_custkey", 0.0)], "silver"))
+        change.commit()
+    except QualityGateError:
+        lake.rollback(1)
+    return reduce(DataFrame.unionByName, [lake.snapshot(v).table("orders").withColumn("version", F.lit(v)) for v in lake.versions()])
+
+
+def stock_payloads(spark, sf_dir):
+    """Events as landed stock payloads."""
+    from strata.schemas import STOCK_BAR_FIELDS, STOCK_META_REFRESHED, STOCK_META_SYMBOL
+    day, text = F.to_date("ts"), lambda c: c.cast("string")
+
+    def bar(v):
+        values = (v, v + 1, v - 1, v, F.col("event_id"))
+        return F.create_map(*[x for (key, _, _), c in zip(STOCK_BAR_FIELDS, values) for x in (F.lit(key), text(c))])
+
+    return load(spark, sf_dir, "events").select(
+        F.create_map(F.lit(STOCK_META_SYMBOL), text(F.col("event_id")), F.lit(STOCK_META_REFRESHED), text(day)).alias("Meta Data"),
+        F.create_map(text(day), bar(F.col("value")), text(F.date_sub(day, 1)), bar(F.col("value") + 0.5)).alias("Time Series (Daily)"),
+        text(F.col("user_id")).alias("symbol"), text(F.col("ts")).alias("ingestion_timestamp"),
+        F.when(F.col("event_type") == "error", F.lit("bad request")).alias("Error Message"),
+        F.when(F.col("value") > 100, F.lit("call frequency")).alias("Note"))
 
 
 @query("stock_bars", """
@@ -823,19 +924,7 @@ SELECT stock_symbol, NULL, NULL, NULL, NULL, NULL, NULL, reject_reason FROM docs
 def stock_bars(spark, sf_dir):
     """Documents of two days each: a day's bar is corrected by the next day's document."""
     from strata.plans.warehouse import stock_silver
-    from strata.schemas import STOCK_BAR_FIELDS, STOCK_META_REFRESHED, STOCK_META_SYMBOL
-    day, text = F.to_date("ts"), lambda c: c.cast("string")
-
-    def bar(v):
-        values = (v, v + 1, v - 1, v, F.col("event_id"))
-        return F.create_map(*[x for (key, _, _), c in zip(STOCK_BAR_FIELDS, values) for x in (F.lit(key), text(c))])
-
-    docs = load(spark, sf_dir, "events").select(
-        F.create_map(F.lit(STOCK_META_SYMBOL), text(F.col("event_id")), F.lit(STOCK_META_REFRESHED), text(day)).alias("Meta Data"),
-        F.create_map(text(day), bar(F.col("value")), text(F.date_sub(day, 1)), bar(F.col("value") + 0.5)).alias("Time Series (Daily)"),
-        text(F.col("user_id")).alias("symbol"), text(F.col("ts")).alias("ingestion_timestamp"),
-        F.when(F.col("event_type") == "error", F.lit("bad request")).alias("Error Message"),
-        F.when(F.col("value") > 100, F.lit("call frequency")).alias("Note"))
+    docs = stock_payloads(spark, sf_dir)
     _, bars, rejected = stock_silver(docs, S.fixed_ts(S.RUN_TS))
     bars, rejected = S.stored(bars, "stock_bars"), S.stored(
         rejected.select(F.col("symbol").alias("stock_symbol"), "reject_reason"), "stock_rejected")
@@ -862,3 +951,6 @@ def report_write(spark, sf_dir):
     path = _scratch(spark, "reports")
     write_report(quality_profile(spark, sf_dir), path, "run-1")
     return spark.read.schema("dataset string, column_name string, metric string, value double, run_id string").json(path)
+
+
+from strata.plans import lake_queries  # noqa: E402,F401 - registers its queries

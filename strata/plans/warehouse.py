@@ -31,11 +31,12 @@ from strata.sources.files import read_bronze, read_partitions, stored_table
 from strata.sources.payloads import split_payloads
 
 SILVER_PARTITION = "measurement_date"
+# Gold columns rounded to two digits.
 GOLD_ROUNDED = ["avg_temperature", "min_temperature", "max_temperature", "avg_humidity", "avg_pressure",
                 "avg_wind_speed"]
 
 
-def _newest(df: DataFrame) -> list[str]:
+def newest_first(df: DataFrame) -> list[str]:
     """Total order of twins of one reading: newest ingestion, then all other columns;
     of rows alike but for the processing time the earlier one stays."""
     last = ["ingestion_timestamp", "processing_timestamp"]
@@ -53,7 +54,7 @@ def weather_silver(bronze: DataFrame, processed_at: Column | None = None) -> Dat
     """
     flat = flatten(bronze, WEATHER_SILVER_SPEC)
     kept = require(flat, WEATHER_CRITICAL)
-    unique = dedup_latest(kept, WEATHER_KEYS, _newest(kept))
+    unique = dedup_latest(kept, WEATHER_KEYS, newest_first(kept))
     return stamp(unique, processing_timestamp=processed_at if processed_at is not None else "now")
 
 
@@ -147,7 +148,7 @@ def _merged(spark: SparkSession, path: str, new: DataFrame, name: str) -> DataFr
         near = stored.where(touched).join(days, F.col(SILVER_PARTITION).eqNullSafe(F.col("_day")), "left_semi")
         both = near.unionByName(new)
     out = scratch_path(spark, name)
-    dedup_latest(both, WEATHER_KEYS, _newest(both)).write.parquet(out)
+    dedup_latest(both, WEATHER_KEYS, newest_first(both)).write.parquet(out)
     return spark.read.schema(new.schema).parquet(out)
 
 
@@ -162,7 +163,9 @@ def build_layers(spark: SparkSession, bronze_root: str, silver_path: str, gold_r
     quarantine (``quarantine_path``, by default beside silver) -> gates
     (null rates of the merged silver dates, duplicates and null keys of gold)
     -> published. Nothing is overwritten before its gate has passed, and a rerun
-    of any day leaves every table as it is.
+    of any day leaves every table as it is. These are plain folders: each table is
+    published by itself, and gold reads all of silver. ``strata.plans.daily``
+    publishes all tables at once and reads only what a day touches.
     """
     lines = {"multiLine": "true"} if multiline else {}
     bronze = read_partitions(spark, bronze_root, "json", WEATHER_BRONZE, day=day, **lines) \
@@ -178,9 +181,9 @@ def build_layers(spark: SparkSession, bronze_root: str, silver_path: str, gold_r
     good = routed.where(F.col("dq_status") == "valid").select(*dated.columns)
     bad = routed.where(F.col("dq_status") == "quarantine").select(*dated.columns, F.array_join("dq_reasons", "; ").alias("dq_reasons"))
     quarantine_path = quarantine_path or silver_path.rstrip("/") + "_quarantine"
-    write_layer(_merged(spark, quarantine_path, bad, "quarantine"), quarantine_path, [SILVER_PARTITION], cluster=True)
-    silver = _merged(spark, silver_path, good, "silver")
+    quarantined, silver = _merged(spark, quarantine_path, bad, "quarantine"), _merged(spark, silver_path, good, "silver")
     gate(null_threshold_check(spark, null_rates(silver), NULL_THRESHOLDS, "silver"), label="silver null rates")
+    write_layer(quarantined, quarantine_path, [SILVER_PARTITION], cluster=True)
     write_layer(silver, silver_path, [SILVER_PARTITION], cluster=True)
     stored = spark.read.schema(silver.schema).parquet(silver_path)
     keys = {"aggregated_weather_metrics": ["city_name", "country_code"], "weather_trends": ["city_name"], "dim_city": ["city_id"]}

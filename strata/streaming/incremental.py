@@ -10,14 +10,19 @@ must live in shared storage (``scratch_path`` derives them from
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.clean import dedup_latest
+from strata.operators.keys import KeyIndex, first_per_key
+from strata.operators.rules import QualityGateError, split
+from strata.session import ensure_checkpoint_dir
 from strata.sinks.files import write_layer
+from strata.sinks.snapshots import Change, Lake
 from strata.sources.files import stored_table
 
 
@@ -61,59 +66,71 @@ def stream_land(spark: SparkSession, source: str, schema: T.StructType, sink_pat
 
 
 def stream_dedup(spark: SparkSession, source: str, schema: T.StructType, keys: Sequence[str], ts_col: str,
-                 delay: str, sink_path: str, checkpoint: str, fmt: str = "parquet", **options) -> None:
-    """Drop repeats of ``keys`` within and across runs.
-
-    State per key is kept until the watermark (max event time - ``delay``)
-    passes the key's first event time, so state is bounded by the delay,
-    not by the history. Repeats arriving later than that are left to the
-    batch dedup of the silver build.
-
-    The watermark also keeps out a key seen for the first time later than
-    ``delay``. Such rows are not lost: a second pass over the same new
-    files writes one row of each key that neither the sink nor an earlier pass
-    holds to ``late_path(sink_path)``. Read both with ``read_deduped``.
+                 delay: str | None, sink_path: str, checkpoint: str, fmt: str = "parquet", buckets: int = 64, **options) -> None:
+    """Drop repeats of ``keys`` within and across micro-batches and runs (S2), exactly.
+
+    Of the rows of a key in the first micro-batch that has it, the one with the
+    least ``ts_col`` (then the least other columns) is kept; every later row of the key is a
+    repeat, however late or early its time. The keys seen so far are a
+    table in hash buckets beside the sink (``KeyIndex``): a micro-batch reads the
+    buckets it touches. Rows, keys and the batch's number are published in one commit, so a batch that is
+    run again after a crash changes nothing. ``delay`` is taken for older
+    callers: no result depends on event time any more. Read with ``read_deduped``.
     """
-    stream = read_stream(spark, source, schema, fmt, **options)
-    deduped = stream.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(keys))
-    run_available(deduped, sink_path, checkpoint)
+    index = KeyIndex(_KEYS, tuple(keys), buckets)
+    lake = _dedup_lake(spark, sink_path, index)
 
-    def keep_late(batch: DataFrame, batch_id: int) -> None:
-        late = _without_keys(batch, spark.read.schema(schema).parquet(sink_path), keys)
-        landed = _table(spark, late_path(sink_path), schema)
-        if landed is not None:
-            # Rows of this very batch, left by a run that was cut short, are written anew.
-            late = _without_keys(late, landed.where(F.col(_BATCH) != batch_id), keys)
-        late = dedup_latest(late, list(keys), [ts_col, *[c for c in late.columns if c != ts_col]])
-        write_layer(late.withColumn(_BATCH, F.lit(batch_id).cast("long")), late_path(sink_path), [_BATCH])
+    def step(batch: DataFrame, batch_id: int) -> None:
+        def keep(change: Change) -> None:
+            first = first_per_key(batch, keys, [ts_col])
+            first = first.checkpoint(eager=True)  # used for the buckets, the join and the two tables
+            new = index.unseen(change.base, first).checkpoint(eager=True)
+            change.append(_ROWS, new)
+            index.remember(change, new)
 
-    run_batches(read_stream(spark, source, schema, fmt, **options), keep_late, checkpoint.rstrip("/") + "_late")
+        lake.once("batch", f"{batch_id:012d}", keep)
 
+    ensure_checkpoint_dir(spark)
+    run_batches(read_stream(spark, source, schema, fmt, **options), step, checkpoint)
 
-_BATCH = "late_batch"
 
+_ROWS, _KEYS = "rows", "keys"
 
-def late_path(sink_path: str) -> str:
-    return sink_path.rstrip("/") + "_late"
 
+def _dedup_lake(spark: SparkSession, sink_path: str, index: KeyIndex | None = None) -> Lake:
+    """Rows at ``sink_path``, the keys and versions beside it."""
+    options = {} if index is None else {_KEYS: index.write_options}
+    return Lake(spark, sink_path.rstrip("/") + "_state", {_ROWS: sink_path.rstrip("/")}, options)
 
-def read_deduped(spark: SparkSession, sink_path: str, schema: T.StructType) -> DataFrame:
-    """All rows that ``stream_dedup`` kept: those in time and the late first ones."""
-    kept = spark.read.schema(schema).parquet(sink_path)
-    late = _table(spark, late_path(sink_path), schema)
-    return kept if late is None else kept.unionByName(late.drop(_BATCH))
 
+def read_deduped(spark: SparkSession, sink_path: str, schema: T.StructType) -> DataFrame:
+    """All rows that ``stream_dedup`` kept."""
+    now = _dedup_lake(spark, sink_path).snapshot()
+    return now.table(_ROWS) if now.has(_ROWS) else spark.createDataFrame([], schema)
 
-def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The late rows at ``path`` with their batch, or None where there is no such table."""
-    return stored_table(spark, path, T.StructType([*schema.fields, T.StructField(_BATCH, T.LongType())]))
 
+def stream_gate(spark: SparkSession, source: str, schema: T.StructType, lake: Lake, table: str, rules: Mapping[str, Any],
+                max_bad_share: float, checkpoint: str, fmt: str = "parquet", **options) -> None:
+    """Append a stream's valid rows to ``table`` and the others, with their reasons, to ``<table>_quarantine``.
 
-def _without_keys(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key (NULL members compare equal) is not in ``known``."""
-    seen = known.select(*[F.col(k).alias(f"__{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    return rows.join(seen, same, "left_anti")
+    ``rules`` are those of ``route`` (ranges, not_null, extra). Both tables and the batch's number are
+    published in one commit, and only if at most ``max_bad_share`` of the batch's rows are bad; otherwise the
+    stream stops with a ``QualityGateError`` and neither table has changed. The counts are
+    observed on the writes; a batch that is run again changes nothing.
+    """
+    def step(batch: DataFrame, batch_id: int) -> None:
+        def keep(change: Change) -> None:
+            good, bad = split(batch.checkpoint(eager=True), **rules)
+            change.append(table, good)
+            change.append(f"{table}_quarantine", bad)
+            n_good, n_bad = change.rows[table], change.rows[f"{table}_quarantine"]
+            if n_bad > max_bad_share * (n_good + n_bad):
+                raise QualityGateError(f"batch {batch_id}: {n_bad} of {n_good + n_bad} rows break a rule")
+
+        lake.once(f"{table}-batch", f"{batch_id:012d}", keep)
+
+    ensure_checkpoint_dir(spark)
+    run_batches(read_stream(spark, source, schema, fmt, **options), step, checkpoint)
 
 
 def touched_rows(batch: DataFrame, target: DataFrame, partition_col: str) -> DataFrame:
