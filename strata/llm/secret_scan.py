@@ -10,6 +10,9 @@ armour closes around base64.
 Spans are in code points, end exclusive, leftmost and non-overlapping within a
 kind, over the whole text.
 
+A text is scanned in linear time: after a match that kind goes on behind it, after a
+failed web token behind the run of its letters.
+
 Edge cases: null and empty texts have no spans; repeated rows are scanned
 each; an empty table gives no rows; all other columns pass through.
 """
@@ -35,7 +38,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 GITHUB = re.compile(r"gh[pousr]_([0-9A-Za-z]{36})(?![0-9A-Za-z])")
 NPM = re.compile(r"npm_([0-9A-Za-z]{36})(?![0-9A-Za-z])")
-JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)")
+JWT = re.compile(r"(eyJ[A-Za-z0-9_-]++)\.(eyJ[A-Za-z0-9_-]++)\.([A-Za-z0-9_-]++)")
+_JWT_RUN = re.compile(r"[A-Za-z0-9_-]++")
 PRIVATE_KEY = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*)PRIVATE KEY-----([A-Za-z0-9+/=\s]*)-----END \1PRIVATE KEY-----")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 KEYWORDS = {"password": "assign", "passwd": "assign", "secret": "assign", "token": "assign", "apikey": "assign",
@@ -108,6 +112,8 @@ def scan(text: str | None, words: ahocorasick.Automaton) -> list[tuple[str, int,
             past[kind] = m.end()
             if holds(m):
                 spans.append((kind, at, m.end()))
+        elif kind == "jwt" and (run := _JWT_RUN.match(text, at)):
+            past[kind] = run.end()  # what follows the run did not fit, so no other start inside it can match
     spans += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
