@@ -47,3 +47,14 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
 def unit(hashed: Column) -> Column:
     """A 64-bit hash as a double in (0, 1)."""
     return (F.shiftrightunsigned(hashed, 11).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each made longer until no column of ``df`` (in any case) has it."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found

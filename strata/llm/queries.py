@@ -93,7 +93,7 @@ l AS (
   FROM p),
 tot AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
 cnt AS (SELECT host, line, count(*) AS n FROM (SELECT page_id, host, unnest(list_distinct(lines)) AS line FROM l) GROUP BY host, line),
-bad AS (SELECT host, list(line) AS bad FROM cnt JOIN tot USING (host) WHERE pages >= 20 AND n / pages > 0.1 GROUP BY host)
+bad AS (SELECT host, list(line) AS bad FROM cnt JOIN tot USING (host) WHERE (n - 2) / pages > 0.1 GROUP BY host)
 SELECT page_id, l.host, coalesce(len(lines), 0) AS n_lines,
        coalesce(len(lines), 0) - coalesce(len(list_filter(lines, lambda x: bad IS NULL OR NOT list_contains(bad, x))), 0) AS n_dropped,
        coalesce(array_to_string(list_filter(lines, lambda x: bad IS NULL OR NOT list_contains(bad, x)), chr(10)), '') AS text

@@ -1,8 +1,10 @@
 """Small tests of the training-data operators: edge cases, brute force, round trips."""
 
+import base64
 import hashlib
 import os
 import re
+import time
 import zlib
 
 import duckdb
@@ -317,14 +319,39 @@ def test_secrets_match_plain_patterns(spark):
     assert clean[0] is None and "hunter2x" not in clean[2]
 
 
+def test_secrets_of_long_texts_and_edge_cases(spark, empty):
+    words, start = secret_scan.automaton(), time.monotonic()
+    assert secret_scan.scan("eyJ" * 700_000, words) == []
+    assert secret_scan.scan("eyJ" * 300_000 + ".eyJ" + "eyJ" * 300_000 + ".", words) == []
+    for word in ("password ", "token=", "AKIA", "ghp_", "npm_", "-----BEGIN A "):
+        secret_scan.scan(word * 200_000, words)
+    assert time.monotonic() - start < 20
+    header = base64.urlsafe_b64encode(b'{"alg":"x"}').decode().rstrip("=")
+    texts = [f"eyJ {header}.eyJhIjoxfQ.sig eyJx.eyJ.", f"eyJa.{header}.eyJb.c", f"x{header}.eyJhIjoxfQ.sig"]
+    plain = re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+    for text in texts:
+        got = [text[a:b] for k, a, b in secret_scan.scan(text, words) if k == "jwt"]
+        assert got == [m for m in plain.findall(text) if m.startswith(header)]
+    assert secret_scan.find_secrets(empty).collect() == []
+    twice = secret_scan.find_secrets(docs_of(spark, [(1, "token=abcdefgh", "a")] * 2)).collect()
+    assert len(twice) == 2 and twice[0]["secrets"] == twice[1]["secrets"] != []
+
+
 # --- line dedup -----------------------------------------------------------------
 
 def test_boilerplate_lines(spark):
     rows = [(i, "big", ["Menu", f"line {i}", f"line {i}"]) for i in range(30)] + [(100 + i, "small", ["Menu", "x"]) for i in range(3)]
-    rows += [(200, "", []), (201, "big", [])]
+    rows += [(200, "", []), (201, "big", []), (202, "two", ["Menu"]), (203, "two", ["Menu"]), (204, None, None)]
+    rows += [(300 + i, "ten", ["Menu", *(["Half"] if i < 3 else []), *(["Some"] if i < 4 else [])]) for i in range(10)]
     pages = spark.createDataFrame(rows, "page_id long, host string, lines array<string>")
+    pages = pages.withColumns({c: F.lit(c) for c in ("drop", "_salt", "_drop", "_host", "_salts", "k", "n")})  # names used inside
     out = {r["page_id"]: r["kept"] for r in line_dedup.drop_boilerplate(pages).collect()}
-    assert out[3] == ["line 3", "line 3"] and out[101] == ["Menu", "x"] and out[200] == [] and len(out) == len(rows)
+    assert out[3] == ["line 3", "line 3"] and out[200] == [] and out[204] is None and len(out) == len(rows)
+    # One rule for hosts of all sizes: over 0.1 of the pages beyond two. Three pages of three go, two of two stay, 4 of 10 go, 3 of 10 stay.
+    assert out[101] == [] and out[202] == ["Menu"] and out[300] == ["Half"]
+    kept = line_dedup.drop_boilerplate(pages)
+    assert {r["drop"] for r in kept.collect()} == {"drop"} and kept.columns[-1] == "kept"
+    assert line_dedup.drop_boilerplate(pages.limit(0)).collect() == []
     urls = spark.createDataFrame([("http://A.b:80/x",), (None,), ("junk",), ("https://u@h.org?q",)], "url string")
     assert [r[0] for r in urls.select(line_dedup.host_of(F.col("url"))).collect()] == ["a.b", "", "", "h.org"]
     html = spark.createDataFrame([("<p>a <b>b</b></p><script>x</script><!-- c --> d",), (None,)], "html string")
