@@ -8,16 +8,18 @@ seeded hash, documents are taken by ascending key, and prefix sums of their
 sizes end the sample at the document that leaves it nearest to the target.
 
 Scale: texts are read once, for sizes and keys; all else runs on narrow rows.
-A source is cut by key into buckets of about ``bucket_rows`` rows, whose sums
-locate the bucket in which the budget ends; only that bucket is sorted. So
-no task sorts or sums a whole source. The shares are solved by rounds
+A source is cut by the leading bits of its keys into about ``bucket_rows`` rows a bucket,
+whose sums locate the bucket in which the budget ends; while that one still holds more rows
+(keys crowd where the quality is low), it alone is cut by further bits. Only the last
+one is sorted, so no task sorts or sums a whole source. The shares are solved by rounds
 of two sums over the source table, of which the driver sees only the sums.
 
 Edge cases: a null text has size 0; the null source is a source of its own, last
 in order; empty documents are taken in whole epochs at no cost; repeated
 rows are rows of their own (alike in everything, they share a key and
 count one by one); without any words all targets are 0; an empty table
-gives no rows; a null or non-positive quality counts as the least quality.
+gives no rows; a null or non-positive quality counts as the least quality. ``mixed_documents``
+numbers the rows first, so each row has its own takes, whatever its columns are named.
 """
 
 from __future__ import annotations
@@ -32,6 +34,14 @@ from strata.operators.dimension import dense_index
 
 MIN_QUALITY = 0.1
 _BIG = "decimal(38,0)"
+_FEW_SOURCES = 10_000  # rows of five numbers and a name that may be broadcast
+
+# Keys as whole numbers of this many bits, in the same order; and the most bits that one cut takes (4,096 sums per source).
+_CODE_BITS, _STEP_BITS = 52, 12
+
+
+def _code(key: Column) -> Column:
+    return F.floor(key / (1 + key) * F.lit(float(1 << _CODE_BITS))).cast("long")
 
 
 def word_count(text: Column) -> Column:
@@ -73,7 +83,7 @@ def capped_targets(sources: DataFrame, total: int, max_epochs: int) -> DataFrame
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), size: Column | None = None, quality: Column | None = None,
-        max_epochs: int = 3, seed: int = 17, bucket_rows: int = 4096, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+        max_epochs: int = 3, seed: int = 17, bucket_rows: int = 256, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     """One row per document: the ``carry`` columns, source, size, source_size, target, epochs (times taken), taken."""
     size = word_count(F.col("text")) if size is None else size
     quality = letter_share(F.col("text")) if quality is None else quality
@@ -81,24 +91,33 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), size: Column | None
     u = unit(F.xxhash64(F.lit(seed), F.col("doc_id"), body))
     weight = F.greatest(F.coalesce(quality, F.lit(MIN_QUALITY)), F.lit(MIN_QUALITY))
     rows = materialise(docs.select(*carry, F.col("source"), size.alias("size"), (-F.log(u) / weight).alias("_key"),
-                                   body.alias("_body")), "mix-sizes")
-    buckets = max(1, -(-rows.count() // bucket_rows))
-    # 1 - exp(-key) rises with the key and is even over (0, 1) for weight 1.
-    bucket = F.least(F.floor((1 - F.exp(-F.col("_key"))) * buckets), F.lit(buckets - 1)).cast("long")
-    rows = rows.withColumn("_bucket", bucket)
-    sums = materialise(rows.groupBy("source", "_bucket").agg(F.sum("size").alias("words")), "mix-buckets")
+                                   body.alias("_body")).withColumn("_code", _code(F.col("_key"))), "mix-sizes")
+    bits = min(_STEP_BITS, (rows.count() // bucket_rows).bit_length())
+    bucket = lambda n: F.shiftright("_code", _CODE_BITS - n).alias("_bucket")
+    sums = materialise(rows.groupBy("source", bucket(bits)).agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")), "mix-buckets")
     sources = materialise(sums.groupBy("source").agg(F.sum("words").alias("source_size")), "mix-sources")
     total = sources.agg(F.sum("source_size")).first()[0] or 0
     sources = capped_targets(cyclic_weights(sources, weights), total, max_epochs)
     sources = materialise(sources.withColumn("_whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
                                              .otherwise(F.lit(0)).cast("int"))
                           .withColumn("_budget", F.col("target") - F.col("_whole") * F.col("source_size")), "mix-targets")
-    # The bucket of each source in which its budget ends, and the words before it.
-    upto = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    end = (sums.withColumn("_upto", F.sum("words").over(upto)).join(_renamed(sources), _same("source", "_source"))
-           .where(F.col("_upto") >= F.col("_budget")).groupBy("_source")
-           .agg(F.min(F.struct("_bucket", (F.col("_upto") - F.col("words")).alias("before"))).alias("e"))
-           .select("_source", F.col("e._bucket").alias("_end"), F.col("e.before").alias("_before")))
+    # The bucket of each source in which its budget ends, and the words before it; cut again while it is large.
+    upto = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    parts = sums.join(_renamed(sources), _same("source", "_source")).withColumn("_base", F.lit(0).cast("long"))
+    while True:
+        ends = (parts.withColumn("_upto", F.col("_base") + F.sum("words").over(upto)).where(F.col("_upto") >= F.col("_budget")).groupBy("_source")
+                .agg(F.min(F.struct("_bucket", (F.col("_upto") - F.col("words")).alias("before"), "n", "_budget")).alias("e"))
+                .select("_source", F.col("e._bucket").alias("_end"), F.col("e.before").alias("_before"), "e.n", "e._budget"))
+        end = materialise(ends, "mix-ends")
+        largest = end.agg(F.max("n")).first()[0] or 0
+        if largest <= bucket_rows or bits == _CODE_BITS:
+            break
+        had, bits = bits, min(_CODE_BITS, bits + min(_STEP_BITS, (largest // bucket_rows).bit_length() + 1))
+        near = rows.join(F.broadcast(end) if sources.count() <= _FEW_SOURCES else end,
+                         _same("source", "_source") & (F.shiftright("_code", _CODE_BITS - had) == F.col("_end")))
+        parts = near.groupBy("_source", "_budget", F.col("_before").alias("_base"), bucket(bits)).agg(
+            F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
+    rows, end = rows.withColumn("_bucket", bucket(bits)), end.drop("n", "_budget")
     plan = _renamed(sources, keep=["source_size", "target", "_whole", "_budget"]).join(
         end.withColumnRenamed("_source", "_of"), F.col("_source").eqNullSafe(F.col("_of")), "left").drop("_of")
     plan = materialise(plan, "mix-plan")
@@ -129,21 +148,14 @@ def _renamed(sources: DataFrame, keep: Sequence[str] = ("_budget",)) -> DataFram
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it; all columns stay.
 
-    Rows are found again by a key of id and text; rows alike in both
-    take their repeats together (the sum of what each was given).
+    The rows are written once with a number, by which each one's takes are joined back: rows
+    alike in some or all columns keep the takes of their own, and so the targets of their sources hold.
     """
-    from strata.llm.common import row_key
-
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.select(*cols, *row_key())
-    times = mix(docs.select("doc_id", "text", "source", *row_key()), carry=("_rk", "_rc", "doc_id"), **options)
-    times = materialise(times.select("_rk", "_rc", "epochs"), "mix-times")
-    each = times.groupBy("_rk", "_rc").agg(F.sum("epochs").alias("_times"), F.count(F.lit(1)).alias("_alike"))
-    # Rows alike share their takes evenly; the first ones get what is left over.
-    shared = Window.partitionBy("_rk", "_rc").orderBy("_rk")
-    joined = marked.join(each, ["_rk", "_rc"])
-    alone = joined.where("_alike = 1").withColumn("_n", F.col("_times"))
-    alike = joined.where("_alike > 1").withColumn("_at", F.row_number().over(shared)).withColumn(
-        "_n", F.floor(F.col("_times") / F.col("_alike")) + (F.col("_at") <= F.col("_times") % F.col("_alike")).cast("long")).drop("_at")
-    both = alone.unionByName(alike).where("_n > 0")
-    return both.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*cols)
+    names = docs.columns
+    cols = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
+    rows = materialise(docs.select(F.struct(*cols).alias("row"), F.monotonically_increasing_id().alias("rid")), "mix-rows")
+    of = lambda c: F.col(f"row.c{names.index(c)}").alias(c)
+    times = mix(rows.select(of("doc_id"), of("text"), of("source"), "rid"), carry=("rid",), **options)
+    times = times.where("epochs > 0").select(F.col("rid").alias("of"), "epochs")
+    taken = rows.join(times, F.col("rid") == F.col("of")).select("row", F.explode(F.sequence(F.lit(1), F.col("epochs"))))
+    return taken.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])

@@ -80,6 +80,26 @@ def test_mix_edge_rows(odd, empty):
     assert repeated.count() == mixing.mix(odd).agg(F.sum("epochs")).first()[0]
 
 
+def test_takes_do_not_depend_on_the_cuts(spark):
+    rows = [(i, " ".join(["w"] * (1 + i * 7 % 23)) + " 123456" * (i % 4), f"s{i % 3}") for i in range(900)]
+    docs = docs_of(spark, rows)
+    takes = [sorted((r["doc_id"], r["taken"]) for r in mixing.mix(docs, bucket_rows=n).collect()) for n in (1, 7, 100_000)]
+    assert takes[0] == takes[1] == takes[2]
+
+
+def test_mixed_rows_keep_their_sources_targets(spark):
+    rows = [(7, "three plain words", s) for s in "ab" * 40] + [(i, f"some text {i}", "c") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs = docs.withColumns({c: F.lit(5) for c in ("_n", "_i", "_times", "_alike", "_at", "_rk", "_rc", "rid", "row", "of", "epochs", "_key", "_bucket")})
+    want = {r["source"]: r["n"] for r in mixing.mix(docs).groupBy("source").agg(F.sum("epochs").alias("n")).collect()}
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    assert {r["source"]: r["count"] for r in out.groupBy("source").count().collect()} == {s: n for s, n in want.items() if n}
+    assert {tuple(r)[3:] for r in out.distinct().collect()} == {(5,) * 13}
+    one, two = (sorted(map(tuple, mixing.mixed_documents(docs).collect())) for _ in range(2))
+    assert one == two
+
+
 def test_quality_favours_documents(spark):
     rows = [(i, "w " * 10, "a") for i in range(400)] + [(5000, "w " * 4000, "b")]
     low = F.when(F.col("doc_id") % 2 == 0, 0.1).otherwise(1.0)
@@ -104,6 +124,28 @@ def test_shards_are_gapless_and_stable(spark, odd, empty):
     assert sharding.shard(empty.drop("shard")).count() == 0
 
 
+def brute_rendezvous(spark, ids, n, seed=23):
+    """The shard of each id by comparing all hashes one by one."""
+    pairs = spark.createDataFrame([(i, k) for i in ids for k in range(n)], "i long, k int")
+    bids = pairs.select("i", "k", F.xxhash64(F.lit(seed), "i", "k").alias("h")).collect()
+    return {i: max((b for b in bids if b["i"] == i), key=lambda b: (b["h"], b["k"]))["k"] for i in ids}
+
+
+def test_shards_of_any_columns(spark):
+    docs = spark.createDataFrame([(i % 30, f"text {i % 30}", {"a": i}, f"s{i}") for i in range(90)], "doc_id long, text string, m map<string,int>, Shard string")
+    docs = docs.withColumns({"slot": F.lit("mine"), "bin": F.lit(1), "_h": F.lit(2), "rows": F.lit(3), "first": F.lit(4)})
+    out = sharding.shard(docs, n_shards=4, bucket_bytes=60)
+    assert out.columns == ["doc_id", "text", "m", "bin", "_h", "rows", "first", "shard", "slot", "grown_shard"]
+    rows = out.collect()
+    assert sorted((r["doc_id"], r["m"]["a"]) for r in rows) == sorted((i % 30, i) for i in range(90))
+    assert {r["doc_id"]: r["shard"] for r in rows} == brute_rendezvous(spark, range(30), 4)
+    assert {r["doc_id"]: r["grown_shard"] for r in rows} == brute_rendezvous(spark, range(30), 5)
+    for k in range(4):
+        assert sorted(r["slot"] for r in rows if r["shard"] == k) == list(range(sum(r["shard"] == k for r in rows)))
+    named = sharding.shard(docs, n_shards=4, names=("part", "place", "more"))
+    assert named.columns == [*docs.columns, "part", "place", "more"] and {r["slot"] for r in named.collect()} == {"mine"}
+
+
 # --- SimHash ----------------------------------------------------------------
 
 def brute_simhash(text):
@@ -217,6 +259,68 @@ def test_verbatim_copies_are_found_whatever_their_slots(spark, max_index):
     assert found == {(1, 1): (True, 1.0), (2, 2): (True, 1.0), (3, 3): (True, 1.0), (5, 2): (False, 1.0), (6, 4): (False, 1.0)}
 
 
+STEM = "which of the following statements is the correct answer to this"
+
+
+@pytest.mark.parametrize("max_index", [0, 4_000_000])
+def test_common_stems_make_no_pairs(spark, max_index):
+    bench = spark.createDataFrame([(i, f"{STEM} topic{i} thing{i}") for i in range(300)], "item_id long, text string")
+    stems = [(i, f"Some talk. {STEM} other{i} matter{i} of note", "a") for i in range(300)]
+    copies = [(1000 + i, f"Before it. {STEM} topic{i} thing{i} and after", "a") for i in range(0, 300, 50)]
+    found = decontam.contaminated(docs_of(spark, stems + copies), bench, max_index=max_index).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["coverage"]) for r in found) == [(1000 + i, i, 1.0) for i in range(0, 300, 50)]
+
+
+def test_items_of_one_form_are_found_verbatim(spark):
+    form = "Then the keeper of the old house sold {} barrels to {} for {} coins and {} jars of the best honey in town"
+    bench = spark.createDataFrame([(i, form.format(i + 3, f"Anna{i}", i + 50, i + 90)) for i in range(40)], "item_id long, text string")
+    docs = [(1, "Listen. " + form.format(10, "Anna7", 57, 97), "a"), (2, "Listen. " + form.format(999, "Bert", 888, 777), "a")]
+    found = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs_of(spark, docs), bench).collect()}
+    assert (1, 7) in found and all(d == 1 for d, _ in found)
+    few = decontam.contaminated(docs_of(spark, docs), bench.where("item_id = 7")).collect()
+    assert {r["doc_id"] for r in few} == {1, 2}  # of a single item another set of values is a copy
+
+
+def brute_contaminated(docs, items, width=8, coverage=0.5, run=13):
+    """Pairs whose plain lower-cased windows agree, for texts without numbers and names."""
+    split = lambda t: [w.strip(decontam._OUTER).lower() for w in t.split()]
+    grams = lambda ws, w: [tuple(ws[i:i + w]) for i in range(len(ws) - w + 1)]
+    out = set()
+    for i, item in items:
+        own = split(item)
+        w = min(width, len(own))
+        want = grams(own, w)
+        for d, text in docs:
+            have = set(grams(split(text), w))
+            hit = [g in have for g in want]
+            longest, n = 0, 0
+            for h in hit:
+                n = n + 1 if h else 0
+                longest = max(longest, n)
+            if want and any(hit) and (sum(hit) / len(want) >= coverage or longest + w - 1 >= run):
+                out.add((d, i))
+    return out
+
+
+def test_decontamination_matches_brute_force_on_plain_texts(spark):
+    rng = np.random.default_rng(8)
+    word = lambda: f"w{'abcdefghij'[rng.integers(10)]}{'klmnopqrst'[rng.integers(10)]}"
+    items = [(i, " ".join(word() for _ in range(rng.integers(3, 40)))) for i in range(60)]
+    docs = []
+    for d in range(200):
+        words = [word() for _ in range(rng.integers(0, 60))]
+        for _ in range(rng.integers(0, 3)):  # stretches of items, in part
+            own = items[rng.integers(60)][1].split()
+            a = rng.integers(len(own))
+            b = a + rng.integers(1, 30)
+            at = rng.integers(len(words) + 1)
+            words[at:at] = own[a:b]
+        docs.append((d, " ".join(words)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs_of(spark, [(d, t, "a") for d, t in docs]), bench).collect()}
+    assert found == brute_contaminated(docs, items)
+
+
 def test_every_benchmark_passage_is_searched(spark):
     passages = [f"{w} one plain line about {w} and the long way home to {w}" for w in ("apples", "bridges", "candles", "doors")]
     big = (1 << 62) + 1
