@@ -19,7 +19,7 @@ in order; empty documents are taken in whole epochs at no cost; repeated
 rows are rows of their own (alike in everything, they share a key and
 count one by one); without any words all targets are 0; an empty table
 gives no rows; a null or non-positive quality counts as the least quality. ``mixed_documents``
-numbers the rows first, so each row has its own takes, whatever its columns are named.
+takes columns of any names and types.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import WORD, materialise, unit
 from strata.operators.dimension import dense_index
@@ -148,14 +149,26 @@ def _renamed(sources: DataFrame, keep: Sequence[str] = ("_budget",)) -> DataFram
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it; all columns stay.
 
-    The rows are written once with a number, by which each one's takes are joined back: rows
-    alike in some or all columns keep the takes of their own, and so the targets of their sources hold.
+    Rows are found again by a 128-bit hash of all their columns, so only rows alike in everything take their
+    repeats together, and the targets of the sources hold. Such twins are combined before they are repeated.
     """
     names = docs.columns
-    cols = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
-    rows = materialise(docs.select(F.struct(*cols).alias("row"), F.monotonically_increasing_id().alias("rid")), "mix-rows")
-    of = lambda c: F.col(f"row.c{names.index(c)}").alias(c)
-    times = mix(rows.select(of("doc_id"), of("text"), of("source"), "rid"), carry=("rid",), **options)
-    times = times.where("epochs > 0").select(F.col("rid").alias("of"), "epochs")
-    taken = rows.join(times, F.col("rid") == F.col("of")).select("row", F.explode(F.sequence(F.lit(1), F.col("epochs"))))
-    return taken.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
+    cols = [F.col(f"`{c}`") for c in names]
+    # Maps cannot be hashed; their JSON can.
+    parts = [x for c, f in zip(cols, docs.schema.fields) for x in (c.isNull(), F.to_json(F.struct(c)) if _has_map(f.dataType) else c)]
+    key = [F.xxhash64(F.lit(i), *parts).alias(k) for i, k in enumerate(("_ka", "_kb"))]
+    own = lambda c: F.col(f"`{c}`").alias(c)
+    times = mix(docs.select(own("doc_id"), own("text"), own("source"), *key), carry=("_ka", "_kb"), **options)
+    each = materialise(times.groupBy("_ka", "_kb").agg(F.sum("epochs").alias("times"), F.count(F.lit(1)).alias("alike")), "mix-times")
+    rows = docs.select(*key, F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cols)]).alias("row"))
+    taken = rows.join(each.where("times > 0"), ["_ka", "_kb"])
+    alone = taken.where("alike = 1").select("row", "times")
+    alike = taken.where("alike > 1").groupBy("_ka", "_kb", "times").agg(F.any_value("row").alias("row")).select("row", "times")
+    repeated = alone.unionByName(alike).select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    return repeated.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return _has_map(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, (T.MapType, T.VariantType))

@@ -183,7 +183,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     cols = docs.columns
     key = [F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_sid"), F.col(id_col).isNull().alias("_null"),
            fingerprint(F.col(text_col), shingle).alias("_fp")]
-    marked = docs.select(*[F.col(f"`{c}`") for c in cols], *key)
+    marked = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)]).alias("row"), *key)
     fps = materialise(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp")), "simhash-docs")
     groups = fingerprint_groups(fps, max_bits)
     order = F.struct(F.col("id").isNull().alias("z"), F.col("id"), F.col("fp"))
@@ -192,4 +192,4 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
             .select(F.coalesce(F.col("o.id").cast("string"), F.lit("")).alias("_sid"), F.col("o.z").alias("_null"), F.col("o.fp").alias("_fp")))
     kept = materialise(kept, "simhash-kept")
     return (marked.join(kept, ["_sid", "_null", "_fp"], "left_semi")
-            .dropDuplicates(["_sid", "_null", "_fp"]).select(*[F.col(f"`{c}`") for c in cols]))
+            .dropDuplicates(["_sid", "_null", "_fp"]).select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(cols)]))

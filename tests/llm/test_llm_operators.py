@@ -96,6 +96,8 @@ def test_mixed_rows_keep_their_sources_targets(spark):
     assert out.columns == docs.columns
     assert {r["source"]: r["count"] for r in out.groupBy("source").count().collect()} == {s: n for s, n in want.items() if n}
     assert {tuple(r)[3:] for r in out.distinct().collect()} == {(5,) * 13}
+    maps = mixing.mixed_documents(docs.withColumn("m", F.create_map(F.lit("k"), F.col("doc_id"))))
+    assert maps.count() == out.count() and maps.columns[-1] == "m"
     one, two = (sorted(map(tuple, mixing.mixed_documents(docs).collect())) for _ in range(2))
     assert one == two
 
