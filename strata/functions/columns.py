@@ -52,6 +52,13 @@ def exact_avg(col: Column | str, scale: int = 12, limit: float = 1e15) -> Column
     return F.when(F.count_if(plain) > 0, F.avg(c)).otherwise(exact)
 
 
+def distinct_count(col: Column | str, max_error: float | None = None) -> Column:
+    """COUNT(DISTINCT col): exact, or with ``max_error`` (relative standard deviation) estimated by HyperLogLog++,
+    which keeps a fixed number of registers per group where the exact count shuffles every value."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.count_distinct(c) if max_error is None else F.approx_count_distinct(c, max_error)
+
+
 def pct(part: Column, total: Column, digits: int = 2) -> Column:
     """Percentage rounded half-up, 0 when the total is 0."""
     return F.when(total > 0, F.round(F.lit(100.0) * part / total, digits)).otherwise(F.lit(0.0))

@@ -14,7 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.columns import pct
+from strata.functions.columns import distinct_count, pct
 from strata.schemas import PROFILED_TYPES
 
 
@@ -50,20 +50,24 @@ def null_rates(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 2
     )
 
 
-def duplicate_stats(df: DataFrame, keys: Sequence[str], digits: int = 2) -> DataFrame:
+def duplicate_stats(df: DataFrame, keys: Sequence[str], digits: int = 2, max_error: float | None = None) -> DataFrame:
     """One row ``(total_rows, distinct_rows, duplicate_count, duplicate_rate)``.
 
     Distinct rows count key tuples; a tuple with NULL members counts as a
     value (as ``SELECT DISTINCT``), which ``COUNT(DISTINCT a, b)`` would skip.
     Partial aggregation collapses repeated keys map-side, so a key holding a
-    third of the rows costs one row per map task.
+    third of the rows costs one row per map task. With ``max_error`` the distinct
+    tuples are estimated (at most the number of rows), which shuffles no keys at all.
     """
     if not keys:
         raise ValueError("duplicate_stats needs key columns")
     one = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct(F.struct(*[_q(k) for k in keys])).alias("distinct_rows"),
+        distinct_count(F.xxhash64(*[x for k in keys for x in (_q(k).isNull(), _q(k))]) if max_error else F.struct(*[_q(k) for k in keys]),
+                       max_error).alias("distinct_rows"),
     )
+    if max_error:
+        one = one.withColumn("distinct_rows", F.least("distinct_rows", "total_rows"))
     dup = F.col("total_rows") - F.col("distinct_rows")
     return one.select(
         "total_rows", "distinct_rows", dup.alias("duplicate_count"),

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.buckets import climate_zone
-from strata.functions.columns import exact_avg
+from strata.functions.columns import distinct_count, exact_avg
 from strata.operators.aggregate import group_profile
 from strata.operators.joins import enrich
 from strata.operators.order import ordered, top_k
@@ -42,11 +42,11 @@ def temp_range() -> Column:
     return F.col("max_temperature") - F.col("min_temperature")
 
 
-def avg_by_country(metrics: DataFrame) -> DataFrame:
-    """Average of city averages per country, and the number of cities."""
+def avg_by_country(metrics: DataFrame, max_error: float | None = None) -> DataFrame:
+    """Average of city averages per country, and the number of cities (estimated within ``max_error`` if given)."""
     out = group_profile(metrics, ["country_code"], {
         "avg_temp": F.round(exact_avg("avg_temperature"), 2).cast("double"),
-        "num_cities": F.count_distinct(F.col("city_name")),
+        "num_cities": distinct_count("city_name", max_error),
     })
     return ordered(out, ["avg_temp desc", "country_code"])
 
@@ -78,10 +78,10 @@ def high_humidity(metrics: DataFrame, above: float = HIGH_HUMIDITY_ABOVE) -> Dat
     return ordered(out, ["avg_humidity desc", "city_name"])
 
 
-def global_summary(metrics: DataFrame) -> DataFrame:
-    """One row of global statistics over all cities."""
+def global_summary(metrics: DataFrame, max_error: float | None = None) -> DataFrame:
+    """One row of global statistics over all cities (their number estimated within ``max_error`` if given)."""
     return group_profile(metrics, [], {
-        "total_cities": F.count_distinct(F.col("city_name")),
+        "total_cities": distinct_count("city_name", max_error),
         "global_avg_temp": F.round(exact_avg("avg_temperature"), 2).cast("double"),
         "coldest_temp": F.round(F.min("min_temperature"), 2),
         "hottest_temp": F.round(F.max("max_temperature"), 2),

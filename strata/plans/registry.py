@@ -555,8 +555,7 @@ def stock_series(spark, sf_dir):
 SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '2000-01-01 00:00:00'""")
 def incremental_extract(spark, sf_dir):
     from strata.sources.files import read_increment
-    inc = read_increment(load(spark, sf_dir, "orders"), "o_orderdate", "2000-01-01 00:00:00")
-    return ordered(inc, ["o_orderdate", "o_orderkey"])
+    return read_increment(load(spark, sf_dir, "orders"), "o_orderdate", "2000-01-01 00:00:00")
 
 
 # ---------------------------------------------------------------------------

@@ -224,3 +224,16 @@ def test_exact_avg_keeps_digits_nan_and_large_values(spark):
     df = spark.createDataFrame(rows, "k string, v double").groupBy("k").agg(exact_avg("v").alias("m"))
     out = {r["k"]: r["m"] for r in df.collect()}
     assert abs(out["a"] - 3.013 / 3) < 1e-12 and out["b"] != out["b"] and out["c"] == 2e17 and out["d"] is None
+
+
+def test_distinct_counts_may_be_estimated(spark):
+    from strata.operators.quality import duplicate_stats
+    from strata.plans import products as P
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("k"), F.when(F.col("id") % 2 == 0, F.col("id") % 10).alias("v"))
+    exact, near = duplicate_stats(df, ["k", "v"]).first(), duplicate_stats(df, ["k", "v"], max_error=0.01).first()
+    assert exact.distinct_rows == 20_000 and abs(near.distinct_rows - 20_000) <= 800 and near.total_rows == 60_000
+    metrics = df.select(F.col("k").cast("string").alias("city_name"), F.lit("NO").alias("country_code"),
+                        *[F.lit(1.0).alias(c) for c in ("avg_temperature", "min_temperature", "max_temperature", "avg_humidity")])
+    assert P.global_summary(metrics).first().total_cities == 20_000
+    assert abs(P.avg_by_country(metrics, 0.01).first().num_cities - 20_000) <= 800
+    assert "count(distinct" not in P.global_summary(metrics, 0.01)._jdf.queryExecution().executedPlan().toString().lower()
