@@ -113,12 +113,11 @@ def op5(spark, sf_dir):
 def op9(spark, sf_dir):
     rows = merkle.with_next(documents(spark, sf_dir))
     rows = rows.withColumn("edited", merkle.edited(F.col("text"), F.col("next_text")))
-    rows = rows.withColumn("e_nodes", merkle.paragraphs(F.col("edited"))).withColumn("e_leaves", merkle.clauses(F.col("edited")))
+    rows = rows.withColumn("edited_fingerprint", merkle.fingerprint_of(F.col("edited")))
+    near = lambda other: merkle.likeness(F.col("fingerprint"), F.col(other))
     return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                       merkle.render(F.col("nodes"), F.col("leaves")).alias("fingerprint"),
-                       merkle.render(F.col("e_nodes"), F.col("e_leaves")).alias("edited_fingerprint"),
-                       merkle.likeness(F.col("leaves"), F.col("e_leaves")).alias("near_edited"),
-                       merkle.likeness(F.col("leaves"), F.col("next_leaves")).alias("near_next"))
+                       "fingerprint", "edited_fingerprint", near("edited_fingerprint").alias("near_edited"),
+                       near("next_fingerprint").alias("near_next"))
 
 
 @query("op8_lm_score")

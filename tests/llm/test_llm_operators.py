@@ -484,9 +484,68 @@ def test_roots_and_branches(spark):
     rows = merkle.fingerprint(docs_of(spark, [(i, t, "a") for i, t in enumerate(texts)])).orderBy("doc_id").collect()
     prints = [r["fingerprint"] for r in rows]
     assert len(set(prints[:5])) == 5 and prints[4] == prints[5]
-    pair = spark.createDataFrame([(rows[0]["nodes"], rows[1]["nodes"], rows[0]["leaves"], rows[1]["leaves"])], "a array<array<string>>, b array<array<string>>, x array<long>, y array<long>")
-    places = pair.select(merkle.differing_paragraphs(F.col("a"), F.col("b")), merkle.likeness(F.col("x"), F.col("y"))).first()
-    assert [tuple(p) for p in places[0]] == [(1, 0)] and 0 < places[1] < 1
+    for t, p in zip(texts[:4], prints):  # the tree by hand
+        sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+        tree = [[sha(x) for x in re.split(r"(?<=\n)(?=[^\n])", s)] for s in re.split(r"(?<=\n\n)(?=[^\n])", t)]
+        assert p.split(";")[:2] == [sha("".join(sha("".join(s)) for s in tree)), "/".join(".".join(x[:8] for x in s) for s in tree)]
+
+
+PARAS = [f"Paragraph {i} says {w}, then stops.\n" for i, w in enumerate("one two three four five six".split())]
+
+
+@pytest.mark.parametrize("change,marked", [
+    (lambda p: ["New first one.\n", *p], [("b", 0, 0)]),
+    (lambda p: p[:2] + p[3:], [("a", 0, 2)]),
+    (lambda p: [*p[:4], "Another.\n", *p[5:]], [("a", 0, 4), ("b", 0, 4)]),
+    (lambda p: [*p, p[0]], [("b", 0, 6)]),
+    (lambda p: [*p[:3], "\n", *p[3:]], [("a", 0, 2), ("b", 0, 2)]),
+    (lambda p: p, []),
+])
+def test_edits_are_located(spark, change, marked):
+    pairs = spark.createDataFrame([("k", "".join(PARAS), "".join(change(PARAS)), 1), (None, None, "", 2)], "id string, x string, y string, pair int")
+    found = merkle.differing_paragraphs(pairs, "id", "x", "y").collect()
+    assert sorted((r["side"], r["section"], r["paragraph"]) for r in found) == marked and all(r["id"] == "k" for r in found)
+
+
+def _likeness(a, b):
+    if a.split(";")[0] == b.split(";")[0]:
+        return 1.0
+    x, y = (set(re.findall("[0-9a-f]{8}", f.split(";")[2])) for f in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_merkle_query_matches_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    out = {r["doc_id"]: r for r in QUERIES["op9_merkle"](spark, SF).collect()}
+    assert len(out) == len(docs)
+    for k, d in enumerate(docs):
+        r, text, after = out[d["doc_id"]], d["text"] or "", docs[(k + 1) % len(docs)]
+        half = len(text) // 2
+        edit = text[:len(text) - half] + (after["text"] or "")[:half]
+        assert (r["n_chars"], r["edited_sha256"]) == (len(text), hashlib.sha256(edit.encode()).hexdigest())
+        assert r["near_edited"] == pytest.approx(_likeness(r["fingerprint"], r["edited_fingerprint"]))
+        assert r["near_next"] == pytest.approx(_likeness(r["fingerprint"], out[after["doc_id"]]["fingerprint"]))
+    near = sorted(r["near_edited"] for r in out.values())
+    assert near[len(near) // 10] > 0.2 and sorted(r["near_next"] for r in out.values())[len(near) // 2] < 0.1
+
+
+def test_cells_follow_the_rows(spark):
+    # Ids far away, null ids and equal ids: cells of a few rows all the same.
+    rows = [(i, f"text {i}", "a") for i in range(400)] + [(1 << 62, "far", "a")] + [(None, f"null {i}", "a") for i in range(200)] + [(7, f"seven {i}", "a") for i in range(200)]
+    table = docs_of(spark, rows)
+    out = merkle.with_next(table, rows_per_cell=8).collect()
+    order = sorted(out, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0))
+    assert len(out) == len(rows) and {r["next_text"] for r in out} == {t for _, t, _ in rows}
+    after = {r["text"]: r["next_text"] for r in out}
+    seen, at = [], next(r["text"] for r in order if r["text"] == "far")
+    for _ in rows:
+        seen.append(at)
+        at = after[at]
+    place = {t: i for i, t, _ in rows}
+    assert len(set(seen)) == len(rows) and [place[t] for t in seen[1:]] == [r["doc_id"] for r in order][:-1]
+    base = table.select("doc_id", "text").withColumn("h", F.xxhash64("text"))
+    n, _ = merkle._begins(base, 8, 65536)
+    assert int(n) > 50
 
 
 # --- language model -------------------------------------------------------------
