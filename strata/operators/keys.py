@@ -30,7 +30,7 @@ class KeyIndex:
     keys: tuple[str, ...]
     buckets: int = 64
     max_folders: int = 8
-    few_keys: int = 1000  # up to so many key hashes go into the scan's filter
+    few_keys: int = 1000  # the key hashes of up to so many rows go into the scan's filter
 
     @property
     def write_options(self) -> dict[str, str]:
@@ -43,10 +43,12 @@ class KeyIndex:
     def known(self, snapshot: Snapshot, rows: DataFrame) -> DataFrame:
         """The indexed keys that can match ``rows`` (with hash and bucket)."""
         hashed = self._hashed(rows)
-        touched = [r[0] for r in hashed.select(_BUCKET).distinct().collect()]  # at most one row per bucket
-        found = snapshot.table(self.table, [f"{_BUCKET}={b}" for b in touched])
-        hashes = [r[0] for r in hashed.select(_HASH).distinct().limit(self.few_keys + 1).collect()]
-        return found.where(F.col(_HASH).isin(hashes)) if len(hashes) <= self.few_keys else found
+        hashes = [r[0] for r in hashed.select(_HASH).limit(self.few_keys + 1).collect()]
+        few = len(hashes) <= self.few_keys
+        # At most one row per bucket.
+        touched = {h % self.buckets for h in hashes} if few else {r[0] for r in hashed.select(_BUCKET).distinct().collect()}
+        found = snapshot.table(self.table, [f"{_BUCKET}={b}" for b in sorted(touched)])
+        return found.where(F.col(_HASH).isin(hashes)) if few else found
 
     def unseen(self, snapshot: Snapshot, rows: DataFrame) -> DataFrame:
         """Rows whose key is not in the index. ``rows`` is used more than once and should be stored."""

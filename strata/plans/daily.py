@@ -12,8 +12,7 @@ published in one commit after the gates; a failing gate leaves every table as it
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -26,7 +25,7 @@ from strata.operators.spells import merge_spells, same_key, spells, validity
 from strata.plans.warehouse import GOLD_ROUNDED, SILVER_PARTITION, LayerResult, newest_first, weather_silver
 from strata.schemas import COUNTRY_CODE_LENGTH, NULL_THRESHOLDS, VALUE_RANGES, WEATHER_BRONZE, WEATHER_KEYS
 from strata.session import scratch_path
-from strata.sinks.snapshots import Change, Lake, Snapshot
+from strata.sinks.snapshots import Change, Lake, Snapshot, together
 from strata.sources.files import read_bronze, read_partitions
 
 CITY = ["city_name", "country_code"]
@@ -155,13 +154,6 @@ def _rebuild_cities(change: Change, silver: DataFrame, touched: Sequence[str]) -
     change.replace("dim_city", now.select("dim_city_key", "city_id", *ATTRS))
 
 
-def _together(*steps: Callable[[], None]) -> None:
-    """Run steps that write different tables at the same time; the first error is raised when all have ended."""
-    with ThreadPoolExecutor(len(steps)) as pool:
-        for done in [pool.submit(step) for step in steps]:
-            done.result()
-
-
 GOLD_KEYS = {"aggregated_weather_metrics": CITY, "weather_trends": ["city_name"], "dim_city": ["dim_city_key"]}
 
 
@@ -195,10 +187,10 @@ def run_day(lake: Lake, bronze_root: str, day: dt.date | None = None, processed_
         change.commit()
         return LayerResult(0, n_bad, {})
     touched = _parts(good)
-    _together(quarantine, lambda: _merge(change, "silver", good, touched))
+    together(quarantine, lambda: _merge(change, "silver", good, touched))
     silver = change.staged("silver", own=True)
     # Three chains of small jobs that only share the merged dates.
-    _together(lambda: gate(null_threshold_check(spark, null_rates(silver), NULL_THRESHOLDS, "silver"), label="silver null rates"),
+    together(lambda: gate(null_threshold_check(spark, null_rates(silver), NULL_THRESHOLDS, "silver"), label="silver null rates"),
               lambda: _rebuild_metrics(change, silver, touched), lambda: _rebuild_cities(change, silver, touched))
 
     twins = [change.staged(t).groupBy(*k).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table"), "rows")

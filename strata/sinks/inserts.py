@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 from strata.operators.joins import ConstraintError, constraint_violations
 from strata.operators.keys import KeyIndex, first_per_key
-from strata.sinks.snapshots import Lake
+from strata.sinks.snapshots import Lake, together
 
 
 def insert_new(lake: Lake, table: str, rows: DataFrame, key: Sequence[str], order: Sequence[str],
@@ -31,13 +32,16 @@ def insert_new(lake: Lake, table: str, rows: DataFrame, key: Sequence[str], orde
         broken = constraint_violations(new, not_null, unique).where("violations > 0").collect()  # a row per rule
         if broken:
             raise ConstraintError(f"constraints broken: {[r.asDict() for r in broken]}")
-    for index in indexes[1:]:
+
+    def no_clash(index: KeyIndex) -> None:
         asked = new.dropna(subset=list(index.keys))
         clash = asked.count() - index.unseen(change.base, asked).count()
         if clash:
             raise ConstraintError(f"{clash} new rows repeat a stored value of {list(index.keys)}")
-    change.append(table, new)
-    for index in indexes:
-        index.remember(change, new.dropna(subset=list(index.keys)) if index is not indexes[0] else new)
+
+    if unique and any(change.base.has(i.table) for i in indexes[1:]):
+        together(*[partial(no_clash, i) for i in indexes[1:]])
+    kept = [(i, new if i is indexes[0] else new.dropna(subset=list(i.keys))) for i in indexes]
+    together(lambda: change.append(table, new), *[partial(i.remember, change, rows) for i, rows in kept])
     change.commit()
     return change.rows[table]

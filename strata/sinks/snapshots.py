@@ -23,6 +23,7 @@ import json
 import os
 import uuid
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
@@ -39,6 +40,13 @@ class CommitConflict(RuntimeError):
     """The next version has been published by someone else."""
 
 
+def together(*steps: Callable[[], None]) -> None:
+    """Run steps that change different tables at the same time; the first error is raised when all have ended."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """One version of all tables."""
