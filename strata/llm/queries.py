@@ -44,8 +44,8 @@ def op4(spark, sf_dir):
 def op6(spark, sf_dir):
     docs = documents(spark, sf_dir)
     model = toxicity.train(docs, load(spark, sf_dir, "labels"))
-    scored = docs.select("doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+    scored = docs.select("doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), toxicity.assess(F.col("text"), model).alias("a"))
+    return scored.select("doc_id", "held_out", "a.score", (F.col("a.score") >= 0.3).cast("int").alias("predicted"), "a.n_passages")
 
 
 @query("op7_simhash")

@@ -3,10 +3,11 @@
 Token scores: log-odds of a token in toxic against clean documents, both
 smoothed by an informative Dirichlet prior (the token's share in all training
 documents). Words count once per document, and so do the first four, five and
-six letters of longer words, which carry the score of inflected forms. Only
-log-odds significant by their z value score above zero; every other word costs
-the same small amount, chosen so that the expected score of clean text is
-negative, as segment statistics need it.
+six letters of longer words, which carry the score of inflected forms. Log-odds
+significant by their z value are the token's score, of toxic words (above 1)
+and of clean ones (below 0); a word takes the highest of its toxic parts, else
+its own negative one. All other words share one small cost, chosen so that the
+expected score of clean text is negative, as segment statistics need it.
 
 Segments: the linear-time search for all maximal scoring subsequences (every
 passage whose score no extension or part of it raises).
@@ -14,8 +15,9 @@ passage whose score no extension or part of it raises).
 Calibration: with lambda, the root of E[exp(lambda * score)] = 1 over clean
 tokens, ``lambda * S - ln(n)`` is the log of the inverse expected number of
 such passages in n clean words (extreme-value law, up to a constant). The best
-passage and the sum over all passages, so normalised, go through a logistic
-curve fitted on the training documents' histogram, which gives a probability.
+passage so normalised and the sum over all significant ones (expected at most
+``EXPECTED`` times in as much clean text) go through a logistic curve fitted on
+the training documents' histogram, which gives a probability.
 
 Bounds: ``max_train_docs`` labelled documents at most are used for fitting (a
 documented bound, taken by hash, so the sample is the same on every run); token
@@ -43,6 +45,8 @@ from strata.llm.common import held_out, materialise
 
 _OUTER = b".,;:!?\"'()[]{}"
 PREFIXES = (4, 5, 6)
+EXPECTED = 0.01  # a passage is significant if clean text of this length has as many at most
+REACH = 100.0  # evidence beyond this adds nothing
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -50,9 +54,9 @@ def _words(text: str | None) -> list[bytes]:
 
 
 def _features(word: bytes) -> list[str]:
-    """The word without outer punctuation, and its first letters."""
+    """The first letters of the word, fewest first, then the word without outer punctuation."""
     core = word.strip(_OUTER).decode("utf-8", "replace")
-    return [core, *(f"{core[:k]}*" for k in PREFIXES if len(core) > k)] if core else []
+    return [*(f"{core[:k]}*" for k in PREFIXES if len(core) > k), core] if core else []
 
 
 class Passage(NamedTuple):
@@ -66,40 +70,48 @@ class ToxicityModel:
     tokens: dict[str, float] = field(default_factory=dict)
     drift: float = 0.05  # cost of a word without a score
     lam: float = 1.0
-    weights: tuple[float, float, float] | None = None  # constant, best passage, all passages
+    weights: tuple[float, float, float] | None = None  # constant, best passage, all significant passages
 
     def word_score(self, word: bytes) -> float:
-        return max((self.tokens.get(f, 0.0) for f in _features(word)), default=0.0)
+        parts = _features(word)
+        best = max((self.tokens.get(f, 0.0) for f in parts), default=0.0)
+        return best if best > 0 else min(self.tokens.get(parts[-1], 0.0) if parts else 0.0, 0.0) or -self.drift
 
 
-class _Scores(dict):
-    """Word -> score (0: none); forgets when it grows large."""
+class _Memo(dict):
+    """Word -> ``of(word)``; forgets when it grows large."""
 
     LIMIT = 200_000
 
-    def __init__(self, model: ToxicityModel):
+    def __init__(self, of):
         super().__init__()
-        self.model = model
+        self.of = of
 
     def __missing__(self, word: bytes) -> float:
         if len(self) >= self.LIMIT:
             self.clear()
-        self[word] = s = self.model.word_score(word)
+        self[word] = s = self.of(word)
         return s
 
+    def array(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.float64, len(words))
 
-def maximal_segments(positions: list[int], scores: list[float], drift: float) -> list[Passage]:
-    """All maximal scoring segments of a text in which the words at ``positions``
-    score ``scores`` and every other word costs ``drift``; linear in the hits."""
+
+def maximal_segments(scores: np.ndarray) -> list[Passage]:
+    """All maximal scoring segments of a text with these word scores; linear in their number.
+
+    A run of words above 0 lies in one segment, so the search goes by runs.
+    """
+    up = np.concatenate(([False], scores > 0, [False]))
+    edges = np.flatnonzero(up[1:] != up[:-1])
+    if not len(edges):
+        return []
+    sums = np.concatenate(([0.0], np.cumsum(scores)))
     left: list[float] = []
     right: list[float] = []
     span: list[list[int]] = []
     below: list[int] = []  # per segment: the nearest earlier one with a lower left sum, or -1
-    total, last = 0.0, -1
-    for pos, score in zip(positions, scores):
-        total -= drift * (pos - last - 1)
-        lo, hi, where = total, total + score, [pos, pos + 1]
-        total, last = hi, pos
+    for a, b, lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist(), sums[edges[::2]].tolist(), sums[edges[1::2]].tolist()):
         while True:
             j = len(left) - 1
             while j >= 0 and left[j] >= lo:
@@ -107,26 +119,21 @@ def maximal_segments(positions: list[int], scores: list[float], drift: float) ->
             if j < 0 or right[j] >= hi:
                 left.append(lo)
                 right.append(hi)
-                span.append(where)
+                span.append([a, b])
                 below.append(j)
                 break
-            lo, where = left[j], [span[j][0], where[1]]
+            lo, a = left[j], span[j][0]
             del left[j:], right[j:], span[j:], below[j:]
     return [Passage(a, b, r - x) for (a, b), x, r in zip(span, left, right)]
 
 
-def passages(words: list[bytes], model: ToxicityModel, cache: _Scores) -> list[Passage]:
-    s = np.fromiter(map(cache.__getitem__, words), np.float64, len(words))
-    at = np.flatnonzero(s)
-    return maximal_segments(at.tolist(), s[at].tolist(), model.drift) if len(at) else []
-
-
-def _evidence(text: str | None, model: ToxicityModel, cache: _Scores) -> tuple[float, float]:
+def _evidence(text: str | None, model: ToxicityModel, memo: _Memo) -> tuple[float, float, int]:
+    """Best passage, all significant passages (both normalised), and the number of these."""
     words = _words(text)
-    found = passages(words, model, cache)
     size = math.log(len(words) + 2.0)
-    best = max((p.score for p in found), default=0.0)
-    return model.lam * best - size, model.lam * sum(p.score for p in found) - size
+    marks = [model.lam * p.score - size for p in maximal_segments(memo.array(words))]
+    found = [m for m in marks if m >= -math.log(EXPECTED)]
+    return min(max(marks, default=-size), REACH), min(sum(found), REACH), len(found)
 
 
 def _probability(best, every, weights):
@@ -134,31 +141,36 @@ def _probability(best, every, weights):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -50.0, 50.0)))
 
 
-def score(text: Column, model: ToxicityModel) -> Column:
-    """Probability of a toxic document, 0 to 1."""
+def assess(text: Column, model: ToxicityModel) -> Column:
+    """struct(score: probability of a toxic document, 0 to 1; n_passages: number of significant passages)."""
 
-    @F.pandas_udf("double")
-    def _score(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("struct<score:double,n_passages:int>")
+    def _assess(texts: pd.Series) -> pd.DataFrame:
         if model.weights is None:
-            return pd.Series(0.0, index=texts.index)
-        cache = _Scores(model)
-        x = np.array([_evidence(t, model, cache) for t in texts], float).reshape(-1, 2)
-        return pd.Series(_probability(x[:, 0], x[:, 1], model.weights), index=texts.index)
+            return pd.DataFrame({"score": 0.0, "n_passages": 0}, index=texts.index)
+        memo = _Memo(model.word_score)
+        x = np.array([_evidence(t, model, memo) for t in texts], float).reshape(-1, 3)
+        return pd.DataFrame({"score": _probability(x[:, 0], x[:, 1], model.weights), "n_passages": x[:, 2].astype(np.int32)}, index=texts.index)
+
+    return _assess(text)
+
 
-    return _score(text)
+def score(text: Column, model: ToxicityModel) -> Column:
+    """Probability of a toxic document, 0 to 1."""
+    return assess(text, model)["score"]
 
 
-def find_passages(docs: DataFrame, model: ToxicityModel, text_col: str = "text", max_expected: float = 0.01) -> DataFrame:
+def find_passages(docs: DataFrame, model: ToxicityModel, text_col: str = "text", max_expected: float = EXPECTED) -> DataFrame:
     """``docs`` with ``passages``: array of (start, end, score, expected), words counted
     from 0, end exclusive; those expected at most ``max_expected`` times in as much clean text."""
 
     @F.pandas_udf("array<struct<start:int,end:int,score:double,expected:double>>")
     def _find(texts: pd.Series) -> pd.Series:
-        cache = _Scores(model)
+        memo = _Memo(model.word_score)
         out = []
         for t in texts:
             words = _words(t)
-            rows = [(p.start, p.end, p.score, (len(words) + 1) * math.exp(-model.lam * p.score)) for p in passages(words, model, cache)]
+            rows = [(*p, (len(words) + 2) * math.exp(-model.lam * p.score)) for p in maximal_segments(memo.array(words))]
             out.append([{"start": a, "end": b, "score": s, "expected": e} for a, b, s, e in rows if e <= max_expected])
         return pd.Series(out, index=texts.index, dtype=object)
 
@@ -207,12 +219,14 @@ def train(docs: DataFrame, labels: DataFrame, prior: float = 20.0, min_z: float
         return model
     # A document of each kind as a draw: prior * share pseudo-documents hold the token.
     counts = rows.mapInPandas(_count_features, "feature string, clean long, toxic long").groupBy("feature").agg(
-        F.sum("clean").alias("c0"), F.sum("toxic").alias("c1")).where(F.col("c1") >= min_docs)
+        F.sum("clean").alias("c0"), F.sum("toxic").alias("c1")).where(F.col("c0") + F.col("c1") >= min_docs)
     a = F.lit(prior) * (F.col("c0") + F.col("c1")) / F.lit(float(clean + toxic))
     odds = lambda c, n: F.log((F.col(c) + a) / (F.lit(float(n) + prior) - F.col(c) - a))
     counts = counts.withColumn("s", odds("c1", toxic) - odds("c0", clean)).withColumn(
         "z", F.col("s") / F.sqrt(1 / (F.col("c1") + a) + 1 / (F.col("c0") + a)))
-    model.tokens = {r["feature"]: r["s"] for r in counts.where((F.col("z") >= min_z) & (F.col("s") > 1.0)).select("feature", "s").collect()}
+    toxic_word = (F.col("z") >= min_z) & (F.col("s") > 1.0) & (F.col("c1") >= min_docs)
+    clean_word = (F.col("z") <= -min_z) & ~F.col("feature").endswith("*")
+    model.tokens = {r["feature"]: r["s"] for r in counts.where(toxic_word | clean_word).select("feature", "s").collect()}
     _fit_drift_and_lambda(rows, model)
     _fit_curve(rows, model)
     return model
@@ -222,12 +236,12 @@ def _fit_drift_and_lambda(rows: DataFrame, model: ToxicityModel) -> None:
     """Word score histogram of both kinds (rounded scores: few rows), then drift and lambda."""
 
     def run(batches):
-        cache = _Scores(model)
+        memo = _Memo(model.word_score)
         for pdf in batches:
             tally: dict[tuple[int, float], int] = {}
             for text, toxic in zip(pdf["text"], pdf["toxic"]):
-                words = _words(text)
-                s = np.fromiter(map(cache.__getitem__, words), np.float64, len(words))
+                s = memo.array(_words(text))
+                s[s == -model.drift] = 0.0
                 for v, n in zip(*np.unique(np.round(s, 1), return_counts=True)):
                     tally[toxic, v] = tally.get((toxic, v), 0) + int(n)
             yield pd.DataFrame([(t, v, n) for (t, v), n in tally.items()], columns=["toxic", "s", "n"])
@@ -249,14 +263,14 @@ def _fit_drift_and_lambda(rows: DataFrame, model: ToxicityModel) -> None:
     model.lam = max(lo, 1e-2)
 
 
-def _fit_curve(rows: DataFrame, model: ToxicityModel, width: float = 0.25, reach: float = 40.0) -> None:
+def _fit_curve(rows: DataFrame, model: ToxicityModel, width: float = 0.25) -> None:
     """Logistic curve over the histogram of both kinds of evidence (cells of ``width``: a bounded table)."""
 
     def run(batches):
-        cache = _Scores(model)
+        memo = _Memo(model.word_score)
         for pdf in batches:
-            x = np.array([_evidence(t, model, cache) for t in pdf["text"]], float).reshape(-1, 2)
-            cell = np.round(np.clip(x, -reach, reach) / width)
+            x = np.array([_evidence(t, model, memo) for t in pdf["text"]], float).reshape(-1, 3)
+            cell = np.round(x / width)
             yield pd.DataFrame({"best": cell[:, 0], "every": cell[:, 1], "toxic": pdf["toxic"].to_numpy()})
 
     cells = rows.mapInPandas(run, "best double, every double, toxic int").groupBy("best", "every", "toxic").agg(

@@ -346,13 +346,27 @@ def brute_segments(scores):
     return cut(0, len(scores))
 
 
+def maximal_by_growth(scores):
+    """The same as a recursion over prefix sums, for longer texts."""
+    sums = np.concatenate(([0.0], np.cumsum(scores)))
+
+    def cut(a, b):
+        best, low, at = (1e-12, None, None), sums[a], a
+        for j in range(a + 1, b + 1):
+            if sums[j] - low > best[0]:
+                best = (sums[j] - low, at, j)
+            if sums[j] <= low:
+                low, at = sums[j], j
+        return [] if best[1] is None else cut(a, best[1]) + [best[1:]] + cut(best[2], b)
+    return cut(0, len(scores))
+
+
 def test_maximal_segments_match_definition():
     rng = np.random.default_rng(1)
     for _ in range(150):
         scores = np.where(rng.random(14) < 0.4, rng.integers(1, 6, 14) + 0.37, -1.0)
-        at = np.flatnonzero(scores > 0)
-        got = [(p.start, p.end) for p in toxicity.maximal_segments(at.tolist(), scores[at].tolist(), 1.0)]
-        assert got == brute_segments(scores.tolist())
+        got = [(p.start, p.end) for p in toxicity.maximal_segments(scores)]
+        assert got == brute_segments(scores.tolist()) == maximal_by_growth(scores)
 
 
 def test_toxicity_learns_and_holds_out(spark, odd, empty):
@@ -376,6 +390,16 @@ def test_toxicity_learns_and_holds_out(spark, odd, empty):
     assert all(0 <= r["s"] <= 1 for r in odd.select(toxicity.score(F.col("text"), model).alias("s")).collect())
     found = toxicity.find_passages(docs.where("doc_id in (0, 1)"), model).orderBy("doc_id").collect()
     assert found[0]["passages"] and not found[1]["passages"]
+    # Document scores by hand from the significant passages of a plain search over the word scores.
+    for r in docs.where("doc_id < 12").select("text", toxicity.assess(F.col("text"), model).alias("a")).collect():
+        words = r["text"].encode().lower().split()
+        scores = [model.word_score(w) for w in words]
+        marks = [model.lam * sum(scores[i:j]) - np.log(len(words) + 2) for i, j in maximal_by_growth(scores)]
+        great = [m for m in marks if np.exp(-m) <= toxicity.EXPECTED]
+        best = max(marks, default=-np.log(len(words) + 2))
+        z = model.weights[0] + model.weights[1] * min(best, toxicity.REACH) + model.weights[2] * min(sum(great), toxicity.REACH)
+        assert r["a"]["n_passages"] == len(great)
+        assert r["a"]["score"] == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-6, abs=1e-9)
     assert toxicity.train(docs, label_rows.where("false")).weights is None
     assert toxicity.train(empty, label_rows).weights is None
 
