@@ -23,7 +23,9 @@ tasks (a fixed bound); all other words are joined to the count table, so the
 vocabulary may grow without limit and every count is exact.
 
 Bounds: the model has ``FEATURES * ROWS * classes`` numbers whatever the corpus;
-its training runs in ``trainers`` tasks, which bounds what is averaged.
+its training runs in one task per ``trainer_tokens`` tokens (as far as the input has
+splits), so a task's work does not grow with the input; blocks of it are averaged
+in two levels.
 
 Edge cases: null and empty texts have one token, the end; without training
 documents all counts are 0 and every word is unknown; repeated rows are
@@ -296,7 +298,7 @@ def frequent_words(counts: DataFrame, most: int) -> dict[bytes, int]:
 
 
 def train(train_docs: DataFrame, counts: DataFrame, hot_words: int = 100_000, rounds: int = 1, rate: float = 0.15,
-          trainers: int | None = None) -> tuple[Model, dict[bytes, int]]:
+          trainers: int | None = None, trainer_tokens: int = 1_000_000) -> tuple[Model, dict[bytes, int]]:
     """The model, and the counts of the most frequent words (``hot_words`` at most)."""
     spark = train_docs.sparkSession
     hot = frequent_words(counts, hot_words)
@@ -310,7 +312,7 @@ def train(train_docs: DataFrame, counts: DataFrame, hot_words: int = 100_000, ro
         model.kinds[k] -= 1
         model.in_class[1 + i], model.kinds[1 + i] = hot[w], 1
     model.bias = np.log((model.in_class + 1.0) / (model.total + CLASSES)).astype(np.float32)
-    trainers = trainers or 4 * spark.sparkContext.defaultParallelism
+    trainers = trainers or max(4 * spark.sparkContext.defaultParallelism, -(-model.total // trainer_tokens))
     for _ in range(rounds if model.total else 0):
         parts = train_docs.select("text").coalesce(trainers).mapInPandas(
             _steps(model, rate), "j int, b int, salt int, sums binary, times binary")
