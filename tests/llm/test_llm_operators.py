@@ -273,6 +273,26 @@ def test_common_stems_make_no_pairs(spark, max_index):
     assert sorted((r["doc_id"], r["item_id"], r["coverage"]) for r in found) == [(1000 + i, i, 1.0) for i in range(0, 300, 50)]
 
 
+@pytest.mark.parametrize("max_index", [0, 4_000_000])
+def test_copies_with_shared_windows_only_are_found(spark, max_index):
+    words = lambda tag, n: " ".join(f"{tag}{chr(97 + j)}" for j in range(n))
+    middle, stem = words("mid", 12), words("stem", 14)
+    # Every window of an item a-middle-b is in ten items or more; items 900.. share a stem of 14 words; item 500 is a part of these.
+    items = [(10 * a + b, f"{words(f'a{a}', 4)} {middle} {words(f'b{b}', 4)}") for a in range(10) for b in range(10)]
+    items += [(900 + i, f"{stem} topic{i} thing{i} matter{i}") for i in range(20)] + [(500, " ".join(stem.split()[2:12]))]
+    texts = dict(items)
+    docs = [(1, texts[37]), (2, f"so {stem} and"), (3, f"then {' '.join(stem.split()[2:12])} and"), (4, f"then {' '.join(stem.split()[3:13])} on"),
+            (5, " ".join(stem.split()[2:9])), (6, "nothing of it at all in these few words"), (7, texts[37])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontam.contaminated(docs_of(spark, [(d, t, "a") for d, t in docs]), bench, max_index=max_index).collect()
+    pairs = {(r["doc_id"], r["item_id"]) for r in found}
+    brute = brute_contaminated(docs, items)
+    # Short stretches that more than eight items share are no hit of the items that have something of their own.
+    assert pairs == {(d, i) for d, i in brute if i == 500 or d not in (3, 4)}
+    assert {(1, 37), (7, 37), (2, 900), (2, 919), (2, 500), (3, 500), (4, 500)} <= pairs and not {5, 6} & {d for d, _ in pairs}
+    assert {r["coverage"] for r in found if (r["doc_id"], r["item_id"]) in {(1, 37), (3, 500)}} == {1.0}
+
+
 def test_items_of_one_form_are_found_verbatim(spark):
     form = "Then the keeper of the old house sold {} barrels to {} for {} coins and {} jars of the best honey in town"
     bench = spark.createDataFrame([(i, form.format(i + 3, f"Anna{i}", i + 50, i + 90)) for i in range(40)], "item_id long, text string")
