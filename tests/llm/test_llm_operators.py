@@ -293,6 +293,14 @@ def test_copies_with_shared_windows_only_are_found(spark, max_index):
     assert {r["coverage"] for r in found if (r["doc_id"], r["item_id"]) in {(1, 37), (3, 500)}} == {1.0}
 
 
+def test_copies_of_a_passage_are_one_passage(spark):
+    spaced = [(i, ITEM.replace(" ", " " * (i + 1))) for i in range(12)]
+    bench = spark.createDataFrame(spaced + [(50, f"({ITEM})")], "item_id long, text string")
+    other = ITEM.replace("45", "120").replace("Anselm", "Brigitte").replace(" 3 ", " 7 ")
+    found = decontam.contaminated(docs_of(spark, [(1, f"Before it. {ITEM}", "a"), (2, f"Before it. {other}", "a")]), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(d, i) for d in (1, 2) for i in (*range(12), 50)}
+
+
 def test_items_of_one_form_are_found_verbatim(spark):
     form = "Then the keeper of the old house sold {} barrels to {} for {} coins and {} jars of the best honey in town"
     bench = spark.createDataFrame([(i, form.format(i + 3, f"Anna{i}", i + 50, i + 90)) for i in range(40)], "item_id long, text string")
