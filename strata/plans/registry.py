@@ -704,19 +704,22 @@ def stream_dedup_q(spark, sf_dir):
     from strata.streaming.incremental import read_deduped, stream_dedup
     keys = ["l_orderkey", "l_linenumber"]
     out = _scratch(spark, "stream_dedup")
-    # Every row in two of four files, a micro-batch each and two runs: all keys come again, some of them with an earlier
-    # time, and ship dates span years.
+    # Every row in two of four parts, a micro-batch each and two runs: all keys come again, some of them with an earlier
+    # time, and ship dates span years. A part has as many files as the scan has tasks, so no task grows with the table.
     shipped = F.col("l_shipdate").cast("timestamp")
     part = F.pmod(F.xxhash64(*keys), F.lit(4)).cast("int")
-    copies = F.explode(F.array(F.struct(part.alias("file"), shipped.alias("event_time")),
-                               F.struct(((part + 1) % 4).alias("file"), F.date_sub(shipped, 400).cast("timestamp").alias("event_time"))))
-    rows = load(spark, sf_dir, "lineitem").select(*keys, copies.alias("c")).select(*keys, "c.event_time", "c.file")
+    copies = F.explode(F.array(F.struct(part.alias("part"), shipped.alias("event_time")),
+                               F.struct(((part + 1) % 4).alias("part"), F.date_sub(shipped, 400).cast("timestamp").alias("event_time"))))
+    rows = load(spark, sf_dir, "lineitem").select(*keys, copies.alias("c")).select(*keys, "c.event_time", "c.part")
+    schema, source = rows.drop("part").schema, out + "/source"
     for run in range(2):
-        files = rows.where(F.floor(F.col("file") / 2) == run).repartition(2, "file").drop("file")
-        files.write.mode("append").parquet(out + "/source")
-        stream_dedup(spark, out + "/source", files.schema, keys, "event_time", None, out + "/data", out + "/_checkpoint",
-                     buckets=8, max_files_per_trigger=1)
-    return read_deduped(spark, out + "/data", files.schema).select(*keys)
+        sizes = []
+        for i in (2 * run, 2 * run + 1):  # one after the other: files are taken by age
+            rows.where(F.col("part") == i).drop("part").write.mode("append").parquet(source)
+            sizes.append(len(spark.read.schema(schema).parquet(source).inputFiles()))
+        stream_dedup(spark, source, schema, keys, "event_time", None, out + "/data", out + "/_checkpoint",
+                     buckets=8, max_files_per_trigger=max(sizes[1] - sizes[0], 1))
+    return read_deduped(spark, out + "/data", schema).select(*keys)
 
 
 @query("stream_merge", """

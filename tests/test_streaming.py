@@ -90,3 +90,20 @@ def test_merge_prunes_the_target_and_refuses_moving_keys(spark, tmp):
     assert spark.read.parquet(target).groupBy("v").count().orderBy("v").collect() == [(0, 8), (4, 2)]
     with pytest.raises(ValueError, match="partition column"):
         merge_into_partitions(batch, target, ["id"], ["v desc"], "day")
+
+
+def test_dedup_query_spreads_its_input_over_files(spark, tmp_path, monkeypatch):
+    from strata.plans import registry
+    lines = spark.range(0, 600, 1, 6).selectExpr("id div 3 AS l_orderkey", "cast(id % 3 AS int) AS l_linenumber", "date'2024-01-01' + cast(id % 90 AS int) AS l_shipdate")
+    lines.unionByName(lines.limit(10)).repartition(6).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(registry, "_scratch", lambda spark, name: str(tmp_path / name))
+    scan = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # a task a file
+    try:
+        found = registry.QUERIES["stream_dedup"](spark, str(tmp_path))
+        assert sorted(map(tuple, found.collect())) == [(i // 3, i % 3) for i in range(600)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", scan)
+    files = len(list((tmp_path / "stream_dedup" / "source").glob("*.parquet")))
+    versions = list((tmp_path / "stream_dedup" / "data_state" / "_versions").glob("version=*"))
+    assert files >= 4 * 6 and len(versions) == 4  # a micro-batch per part, each of several files
