@@ -26,10 +26,20 @@ def _runs(df: DataFrame, keys: Sequence[str], attrs: Sequence[str]) -> DataFrame
     return numbered.groupBy(*keys, "__run", *attrs).agg(F.min(FIRST).alias(FIRST), F.max(LAST).alias(LAST)).drop("__run")
 
 
-def spells(readings: DataFrame, keys: Sequence[str], ts_col: str, attrs: Sequence[str]) -> DataFrame:
-    """Readings (one per key and time) as spells: keys, attrs, first_seen, last_seen."""
-    rows = readings.select(*keys, *attrs, F.col(ts_col).alias(FIRST), F.col(ts_col).alias(LAST))
-    return _runs(rows, keys, attrs)
+def spells(readings: DataFrame, keys: Sequence[str], ts_col: str, attrs: Sequence[str], values: Sequence[str] = ()) -> DataFrame:
+    """Readings (one per key and time) as spells: keys, attrs, first_seen, last_seen and ``values`` of the last reading.
+
+    The rows are in time order already, so a spell is its last reading with the time of its first
+    (NULL times sort first and do not count as one); no aggregate per spell follows the window.
+    """
+    in_time = Window.partitionBy(*keys).orderBy(LAST)
+    row = F.struct(*[F.col(f"`{a}`") for a in attrs])
+    rows = readings.select(*keys, *attrs, *values, F.col(ts_col).alias(LAST))
+    before, after = F.lag(row).over(in_time), F.lead(row).over(in_time)
+    begins = before.isNull() | ~row.eqNullSafe(before) | F.lag(LAST).over(in_time).isNull()
+    marked = rows.withColumns({"__begins": begins, "__ends": after.isNull() | ~row.eqNullSafe(after)})
+    start = F.last(F.when(F.col("__begins"), F.col(LAST)), ignorenulls=True).over(in_time.rowsBetween(Window.unboundedPreceding, 0))
+    return marked.withColumn(FIRST, start).where("__ends").select(*keys, *attrs, FIRST, LAST, *values)
 
 
 def merge_spells(parts: DataFrame, keys: Sequence[str], attrs: Sequence[str]) -> DataFrame:

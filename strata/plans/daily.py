@@ -1,11 +1,12 @@
 """The weather warehouse run day by day over a lake: only what a day touches is read and made anew.
 
 A run merges the landed day into the measurement dates it has readings of,
-then keeps two tables of partials by date: ``city_days`` (sums, counts, extremes
-and the newest reading per city and date) and ``city_spells`` (stretches of unchanged
-attributes per city id and date). Both merge exactly, so gold is rebuilt for the
-touched cities from partials alone; silver of other dates is not read. Surrogate
-keys come from the registry ``city_keys``, which only grows. All tables are
+then keeps two tables of partials by date: ``city_days`` (sums, counts and extremes
+per city and date) and ``city_spells`` (stretches of unchanged attributes per city id
+and date, with the values of their last reading). Both merge exactly, so gold is made from
+partials alone; silver of other dates is not read. Metrics and trends add up
+before their rows move (a row per city and task), the history is rebuilt for the
+touched cities. Surrogate keys come from the registry ``city_keys``, which only grows. All tables are
 published in one commit after the gates; a failing gate leaves every table as it was.
 """
 
@@ -21,7 +22,7 @@ from strata.operators.clean import dedup_latest
 from strata.operators.dimension import dense_index
 from strata.operators.quality import null_rates
 from strata.operators.rules import gate, null_threshold_check, route
-from strata.operators.spells import merge_spells, same_key, spells, validity
+from strata.operators.spells import LAST, merge_spells, spells, validity
 from strata.plans.warehouse import GOLD_ROUNDED, SILVER_PARTITION, LayerResult, newest_first, weather_silver
 from strata.schemas import COUNTRY_CODE_LENGTH, NULL_THRESHOLDS, VALUE_RANGES, WEATHER_BRONZE, WEATHER_KEYS
 from strata.session import scratch_path
@@ -36,15 +37,7 @@ _NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 _SCALE, _LIMIT = 12, 1e15
 _EXACT = {"avg_temperature": "temperature_celsius", "avg_wind_speed": "wind_speed_mps"}
 _WHOLE = {"avg_humidity": "humidity_percent", "avg_pressure": "pressure_hpa"}
-_LATEST = ["temperature_celsius", "humidity_percent", "weather_condition", "measurement_timestamp"]
-
-
-def _newest_key() -> Column:
-    """Sorts the newest reading first (ties as in ``weather_trends``) and carries its values; its minimum merges."""
-    last = lambda c: [F.col(c).isNull(), F.col(c)]
-    desc = lambda c: [F.col(c).isNull(), -F.col(c)]
-    order = [*desc("measurement_timestamp"), *last("city_id"), *last("country_code"), *desc("temperature_celsius")]
-    return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], *_LATEST)
+_LATEST = ["temperature_celsius", "humidity_percent", "weather_condition"]
 
 
 def city_days(silver: DataFrame) -> DataFrame:
@@ -58,7 +51,7 @@ def city_days(silver: DataFrame) -> DataFrame:
     for c in _WHOLE.values():
         parts |= {f"{c}_sum": F.sum(F.col(c).cast("long")), f"{c}_n": F.count(c)}
     parts |= {"min_temperature": F.min("temp_min_celsius"), "max_temperature": F.max("temp_max_celsius"),
-              "measurement_count": F.count(F.lit(1)), "last_updated": F.max("processing_timestamp"), "newest": F.min(_newest_key())}
+              "measurement_count": F.count(F.lit(1)), "last_updated": F.max("processing_timestamp")}
     return silver.groupBy(*CITY, SILVER_PARTITION).agg(*[v.alias(k) for k, v in parts.items()])
 
 
@@ -78,12 +71,23 @@ def merged_metrics(days: DataFrame) -> DataFrame:
     return merged.select(*CITY, *GOLD_ROUNDED, "measurement_count", "last_updated")
 
 
-def merged_trends(days: DataFrame) -> DataFrame:
-    """weather_trends (latest reading per city name) from the partials of any dates."""
-    rows = days.groupBy("city_name").agg(F.min(F.struct("newest", "country_code")).alias("r"))
-    return rows.select("city_name", "r.country_code", F.col("r.newest.temperature_celsius").alias("current_temp"),
-                       F.col("r.newest.humidity_percent").alias("current_humidity"), "r.newest.weather_condition",
-                       "r.newest.measurement_timestamp")
+def city_spells(silver: DataFrame) -> DataFrame:
+    """Mergeable spells per city id and measurement date, each with the values of its last reading."""
+    by_day = spells(silver.withColumn("day", F.col(SILVER_PARTITION)), ["city_id", "day"], "measurement_timestamp", ATTRS, _LATEST)
+    return by_day.withColumnRenamed("day", SILVER_PARTITION)
+
+
+def merged_trends(parts: DataFrame) -> DataFrame:
+    """weather_trends (latest reading per city name) from the spells of any dates: a name's latest reading ends a
+    spell, as the city's next reading of that date, if any, has another name. Ties as in ``weather_trends``."""
+    last = lambda c: [F.col(c).isNull(), F.col(c)]
+    desc = lambda c: [F.col(c).isNull(), -F.col(c)]
+    order = [*desc(LAST), *last("city_id"), *last("country_code"), *desc("temperature_celsius")]
+    first = F.min(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], *_LATEST, LAST, "country_code"))
+    rows = parts.groupBy("city_name").agg(first.alias("r"))
+    return rows.select("city_name", "r.country_code", F.col("r.temperature_celsius").alias("current_temp"),
+                       F.col("r.humidity_percent").alias("current_humidity"), "r.weather_condition",
+                       F.col(f"r.{LAST}").alias("measurement_timestamp"))
 
 
 def history(parts: DataFrame, keys: DataFrame) -> DataFrame:
@@ -99,30 +103,17 @@ def _parts(df: DataFrame) -> list[str]:
 
 
 def _merge(change: Change, table: str, new: DataFrame, touched: Sequence[str]) -> None:
-    """``new`` merged into the touched dates of ``table``: per reading the newest ingestion stays."""
-    both = new.unionByName(change.base.table(table, touched)) if change.base.has(table) else new
-    change.replace(table, dedup_latest(both, WEATHER_KEYS, newest_first(both)), SILVER_PARTITION)
+    """``new`` (one row per reading) merged into the touched dates of ``table``: per reading the newest ingestion stays."""
+    if not set(touched).isdisjoint(change.base.parts(table)):
+        new = new.unionByName(change.base.table(table, touched))
+        new = dedup_latest(new, WEATHER_KEYS, newest_first(new))
+    change.replace(table, new, SILVER_PARTITION)
 
 
-def _partials(change: Change, table: str, rows: DataFrame, touched: Sequence[str], key: Sequence[str]) -> DataFrame:
-    """Replace the partials of the touched dates; the keys that had or have rows there."""
-    change.replace(table, rows, SILVER_PARTITION)
-    keys = change.staged(table, own=True).select(*key)
-    if change.base.has(table):
-        keys = keys.unionByName(change.base.table(table, touched).select(*key))
-    return keys.distinct()
-
-
-def _of(df: DataFrame, keys: DataFrame, key: Sequence[str], how: str) -> DataFrame:
-    """Rows of ``df`` with (``left_semi``) or without (``left_anti``) one of ``keys``."""
-    named = keys.select(*[F.col(k).alias(f"__{k}") for k in key])
-    return df.join(named, same_key(key, [f"__{k}" for k in key]), how)
-
-
-def _swap(change: Change, table: str, anew: DataFrame, keys: DataFrame, key: Sequence[str]) -> None:
-    """``table`` with the rows of ``keys`` taken out and ``anew`` put in."""
-    old = change.base
-    change.replace(table, anew.unionByName(_of(old.table(table), keys, key, "left_anti")) if old.has(table) else anew)
+def _of(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Rows of ``df`` with (``left_semi``) or without (``left_anti``) one of the city ids, which silver requires: an
+    equality of plain columns, so windows per city need no second shuffle."""
+    return df.join(ids.select("city_id"), "city_id", how)
 
 
 def _register(change: Change, ids: DataFrame) -> None:
@@ -132,25 +123,33 @@ def _register(change: Change, ids: DataFrame) -> None:
     if base.has("city_keys"):
         known = base.table("city_keys")
         top = known.agg(F.coalesce(F.max("dim_city_key"), F.lit(0))).first()[0]
-        ids = _of(ids, known, ["city_id"], "left_anti")
+        ids = _of(ids, known, "left_anti")
     numbered = dense_index(ids, ["city_id"], "dim_city_key")
     change.append("city_keys", numbered.select((F.col("dim_city_key") + top).alias("dim_city_key"), "city_id"))
 
 
-def _rebuild_metrics(change: Change, silver: DataFrame, touched: Sequence[str]) -> None:
-    cities = _partials(change, "city_days", city_days(silver), touched, CITY).checkpoint(eager=True)
-    days = change.staged("city_days")
-    _swap(change, "aggregated_weather_metrics", merged_metrics(_of(days, cities, CITY, "left_semi")), cities, CITY)
-    _swap(change, "weather_trends", merged_trends(_of(days, cities, ["city_name"], "left_semi")), cities, ["city_name"])
+def _rebuild_metrics(change: Change, silver: DataFrame) -> None:
+    change.replace("city_days", city_days(silver), SILVER_PARTITION)
+    change.replace("aggregated_weather_metrics", merged_metrics(change.staged("city_days")))
 
 
 def _rebuild_cities(change: Change, silver: DataFrame, touched: Sequence[str]) -> None:
-    by_day = spells(silver.withColumn("day", F.col(SILVER_PARTITION)), ["city_id", "day"], "measurement_timestamp", ATTRS)
-    ids = _partials(change, "city_spells", by_day.withColumnRenamed("day", SILVER_PARTITION), touched, ["city_id"]).checkpoint(eager=True)
+    change.replace("city_spells", city_spells(silver), SILVER_PARTITION)
+    together(lambda: change.replace("weather_trends", merged_trends(change.staged("city_spells"))),
+             lambda: _rebuild_history(change, touched))
+
+
+def _rebuild_history(change: Change, touched: Sequence[str]) -> None:
+    old = change.base
+    ids = change.staged("city_spells", own=True).select("city_id")
+    if old.has("city_spells"):
+        ids = ids.unionByName(old.table("city_spells", touched).select("city_id"))
+    ids = ids.distinct().checkpoint(eager=True)  # the cities that had or have rows on the touched dates
     _register(change, ids)
-    spans = history(_of(change.staged("city_spells"), ids, ["city_id"], "left_semi"), change.staged("city_keys"))
-    _swap(change, "city_history", spans, ids, ["city_id"])
-    now = change.staged("city_history").where(F.col("valid_to").isNull())
+    spans = history(_of(change.staged("city_spells"), ids, "left_semi"), change.staged("city_keys"))
+    if old.has("city_history"):
+        spans = spans.unionByName(_of(old.table("city_history"), ids, "left_anti"))
+    now = change.replace("city_history", spans).staged("city_history").where(F.col("valid_to").isNull())
     change.replace("dim_city", now.select("dim_city_key", "city_id", *ATTRS))
 
 
@@ -191,7 +190,7 @@ def run_day(lake: Lake, bronze_root: str, day: dt.date | None = None, processed_
     silver = change.staged("silver", own=True)
     # Three chains of small jobs that only share the merged dates.
     together(lambda: gate(null_threshold_check(spark, null_rates(silver), NULL_THRESHOLDS, "silver"), label="silver null rates"),
-              lambda: _rebuild_metrics(change, silver, touched), lambda: _rebuild_cities(change, silver, touched))
+              lambda: _rebuild_metrics(change, silver), lambda: _rebuild_cities(change, silver, touched))
 
     twins = [change.staged(t).groupBy(*k).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table"), "rows")
              for t, k in GOLD_KEYS.items()]

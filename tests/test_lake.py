@@ -11,7 +11,7 @@ from strata.operators.joins import ConstraintError
 from strata.operators.keys import KeyIndex
 from strata.operators.sketches import distinct_values, merge_distinct, merge_profiles, profile_parts
 from strata.operators.spells import merge_spells, missing_days, spells, validity
-from strata.plans.daily import run_day
+from strata.plans.daily import city_days, run_day
 from strata.plans.warehouse import weather_metrics, weather_trends
 from strata.sinks.inserts import insert_new
 from strata.sinks.snapshots import CommitConflict, Lake
@@ -243,6 +243,17 @@ def test_days_equal_a_rebuild_and_keys_stay(spark, tmp):
         assert once[t] == daily[t], t
 
 
+def test_spells_carry_the_last_reading_and_days_add_up_without_a_sort(spark, tmp):
+    data = [(1, None, "a", "p"), (1, 10, "a", "q"), (1, 20, "a", "r"), (1, 30, "b", None), (1, 40, "a", "s"), (2, None, None, "t")]
+    df = spark.createDataFrame(data, "id int, t int, name string, v string")
+    assert rows(spells(df, ["id"], "t", ["name"], ["v"])) == [(1, "a", 10, 20, "r"), (1, "a", 40, 40, "s"), (1, "b", 30, 30, None), (2, None, None, None, "t")]
+    lake = Lake(spark, tmp + "/lake")
+    run_day(lake, daily_fixture(tmp), None, F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    days = city_days(lake.snapshot().table("silver"))
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_a_day_reads_and_replaces_only_what_it_touches(spark, tmp):
     root, at = daily_fixture(tmp), F.lit("2024-02-01 00:00:00").cast("timestamp")
     lake = Lake(spark, tmp + "/daily")
